@@ -96,7 +96,8 @@ SILVER_COLUMNS = (
     "junction, traffic_signal, crossing, situation_date"
 )
 
-DIGEST = "md5(concat_ws('|', '42', CAST(id AS VARCHAR)))"
+def _digest(purpose: str) -> str:
+    return f"md5(concat_ws('|', '{purpose}-42', CAST(id AS VARCHAR)))"
 
 
 def _bound(share: float) -> str:
@@ -104,8 +105,8 @@ def _bound(share: float) -> str:
     return f"{int(share * 16**12):012x}"
 
 
-DAY_BY_DIGEST = f"""CASE WHEN {DIGEST} < '{_bound(0.33)}' THEN DATE '2025-01-01'
-    WHEN {DIGEST} < '{_bound(0.66)}' THEN DATE '2025-01-02' ELSE DATE '2025-01-03' END"""
+DAY_BY_DIGEST = f"""CASE WHEN {_digest('batch')} < '{_bound(0.33)}' THEN DATE '2025-01-01'
+    WHEN {_digest('batch')} < '{_bound(0.66)}' THEN DATE '2025-01-02' ELSE DATE '2025-01-03' END"""
 
 RISK = "CASE WHEN {0} >= 3 THEN 'HIGH' WHEN {0} >= 2 THEN 'MEDIUM' ELSE 'LOW' END"
 
@@ -198,9 +199,9 @@ BODIES = {
     "external_table_roundtrip": "SELECT * FROM incidents_silver",
     "serving_sql": """SELECT state, city, total_accidents, avg_severity, latitude, longitude
         FROM city_hotspots WHERE state = 'NATION_10'""",
-    "bounded_sample": f"SELECT id, severity FROM incidents_silver ORDER BY {DIGEST}, id LIMIT 300",
+    "bounded_sample": f"SELECT id, severity FROM incidents_silver ORDER BY {_digest('sample')}, id LIMIT 300",
     "available_columns": "SELECT id, severity, start_lat, start_lng, start_time FROM incidents_silver",
-    "train_test_split": f"""SELECT id, CASE WHEN {DIGEST} < '{_bound(0.8)}' THEN 'train' ELSE 'test' END AS part
+    "train_test_split": f"""SELECT id, CASE WHEN {_digest('split')} < '{_bound(0.8)}' THEN 'train' ELSE 'test' END AS part
         FROM incidents_silver""",
     "ml_features": FEATURES,
     "pipeline_silver": f"""SELECT {SILVER_COLUMNS.replace('situation_date', DAY_BY_DIGEST + ' AS situation_date')}

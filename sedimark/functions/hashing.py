@@ -1,6 +1,7 @@
 """Hash-derived decisions that do not depend on partition layout, row order or engine version.
 
-Rows are placed by the MD5 text of their key and a seed. Hex digests compare as text in the order of
+Rows are placed by the MD5 text of a purpose, a seed and their key. The purpose keeps decisions
+independent: with one hash for all, a sample of the smallest hashes would lie in one part of any split. Hex digests compare as text in the order of
 the numbers they stand for, so "the first 33 %" is a plain string comparison with a constant, and any
 SQL engine can reproduce the choice.
 """
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 _DIGITS = 12
 
 
-def portable_hash(keys: Sequence[str], seed: int) -> Column:
-    """32 hex digits, a function of seed and key values only."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(f"`{k}`").cast("string") for k in keys]))
+def portable_hash(keys: Sequence[str], seed: int, purpose: str) -> Column:
+    """32 hex digits, a function of purpose, seed and key values only."""
+    return F.md5(F.concat_ws("|", F.lit(f"{purpose}-{seed}"), *[F.col(f"`{k}`").cast("string") for k in keys]))
 
 
 def hex_bound(fraction: float) -> str:
@@ -34,12 +35,12 @@ def below_fraction(digest: Column, fraction: float) -> Column:
     return digest < hex_bound(fraction)
 
 
-def weighted_label(keys: Sequence[str], weights: Mapping[str, float], seed: int) -> Column:
+def weighted_label(keys: Sequence[str], weights: Mapping[str, float], seed: int, purpose: str) -> Column:
     """One of the labels per row, drawn with the given weights; each row gets exactly one."""
     if not weights or any(w <= 0 for w in weights.values()):
         raise ValueError("weights must be positive")
     total = sum(weights.values())
-    digest = portable_hash(keys, seed)
+    digest = portable_hash(keys, seed, purpose)
     labels = list(weights)
     reached, ladder = 0.0, None
     for label in labels[:-1]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimark.session import ensure_checkpointing
+from sedimark.sources.sinks import materialized
 
 # Key hashes that may be broadcast: 8 bytes each, so the side stays near 50 MB with its hash table.
 BROADCAST_KEYS = 2_000_000
@@ -46,19 +46,16 @@ def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 def keep_first_sparse(
     df: DataFrame, key: str, order: Sequence[str], broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
-    """Same rows as `keep_first`, for wide input in which few keys repeat. Runs one job.
+    """Same rows as `keep_first`, for wide input in which few keys repeat. Runs a job.
 
     A pass over the key column alone finds the hashes that occur more than once. Rows of all other
     keys are unique and stay where they are; only rows with a repeated hash are shuffled and ranked.
     A hash collision merely sends a unique row through the ranking. When too many keys repeat to
     broadcast their hashes, everything is ranked instead.
     """
-    ensure_checkpointing(df.sparkSession)
     hashed = df.withColumn(_HASH, F.xxhash64(key))
-    repeated = (
-        hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(_HASH).checkpoint()
-    )
-    found = repeated.count()
+    counted = hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n"))
+    repeated, found = materialized(counted.where("n > 1").select(_HASH), "repeated-keys")
     if found == 0:
         return df
     if found > broadcast_keys:

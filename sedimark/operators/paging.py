@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimark.operators.summaries import ordering
-from sedimark.session import ensure_checkpointing
+from sedimark.sources.sinks import materialized
 
 # Pages that end within this many rows are cut with a top-k; later ones by counting sorted ranges.
 TOP_ROWS = 100_000
@@ -41,18 +41,16 @@ def _far_page(df: DataFrame, order: Sequence[str], start: int, size: int) -> Dat
     The rows are range-partitioned in page order and written once; the row count per range (one small
     row each) tells which ranges the page touches, and only those are numbered, each in its own task.
     """
-    spark = df.sparkSession
-    ensure_checkpointing(spark)
     terms = ordering(order)
     # Equal order values would all fall into one range; a row number as last term spreads them.
     spread = F.monotonically_increasing_id()
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (
         df.withColumn("__spread", spread)
         .repartitionByRange(ranges, *terms, "__spread")
         .withColumn("__range", F.spark_partition_id())
-        .checkpoint()
     )
+    placed, _ = materialized(ranged, "far-page")
     sizes = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).orderBy("__range").collect()
     touched, before = {}, 0
     for row in sizes:

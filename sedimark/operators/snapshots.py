@@ -23,12 +23,14 @@ def tag_batch(df: DataFrame, day: str) -> DataFrame:
 
 def spread_over_days(df: DataFrame, weights: Mapping[str, float], keys: Sequence[str], seed: int = 42) -> DataFrame:
     """Give every row one of the days by weight, from its key alone, in the same pass that reads it."""
-    return df.withColumn(BATCH, F.to_date(weighted_label(keys, weights, seed)))
+    return df.withColumn(BATCH, F.to_date(weighted_label(keys, weights, seed, "batch")))
 
 
-def split_by_weight(df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int = 42) -> list[DataFrame]:
-    """Disjoint parts that together hold every row; a row's part depends on its key and the seed only."""
-    label = weighted_label(keys, {str(i): w for i, w in enumerate(weights)}, seed)
+def split_by_weight(
+    df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int = 42, purpose: str = "batch"
+) -> list[DataFrame]:
+    """Disjoint parts that together hold every row; a row's part depends on its key, not on its place."""
+    label = weighted_label(keys, {str(i): w for i, w in enumerate(weights)}, seed, purpose)
     return [df.where(label == str(i)) for i in range(len(weights))]
 
 

@@ -29,7 +29,7 @@ DAYS = {"2025-01-01": 0.33, "2025-01-02": 0.33, "2025-01-03": 0.34}
 SAMPLE_ROWS = 150_000
 MART_FILES = 2
 SILVER_TABLE = "accident_analysis_db.accidents_silver"
-TRAINING_PARTITIONS = 32
+TRAINING_ROWS_PER_PARTITION = 20_000
 
 # Marts with a row per scored record; all others have a top-k or a small key domain.
 UNBOUNDED_MARTS = ("ml_severity_predictions",)
@@ -50,18 +50,21 @@ class Settings:
 
 
 def ingest(spark: SparkSession, settings: Settings) -> None:
-    """Source CSV to dated Bronze partitions, in one pass and without a shuffle."""
+    """Source CSV to dated Bronze partitions, in one pass and without a shuffle.
+
+    Lines that do not parse stay in Bronze with their text, see `files.split_corrupt`.
+    """
     schema = settings.schema or files.raw_schema()
-    rows, _ = files.split_corrupt(files.read_csv(spark, settings.source, schema))
-    key = next(c for c in rows.columns if tidy_name(c) == settings.profile.key)
-    dated = snapshots.spread_over_days(rows, settings.days or DAYS, [key])
+    lines = files.read_csv(spark, settings.source, schema)
+    key = next(c for c in lines.columns if tidy_name(c) == settings.profile.key)
+    dated = snapshots.spread_over_days(lines, settings.days or DAYS, [key])
     snapshots.write_batches(tidy_names(dated), settings.layout.bronze)
 
 
 def refine(spark: SparkSession, settings: Settings, as_of: str | None = None) -> dict[str, Any]:
     """Bronze snapshot to the cleaned Silver table; returns its row count and the quality report."""
     layout = settings.layout
-    bronze = snapshots.snapshot(files.read_parquet(spark, layout.bronze), as_of)
+    bronze, _ = files.split_corrupt(snapshots.snapshot(files.read_parquet(spark, layout.bronze), as_of))
     silver = clean(bronze, settings.profile, dedup=keep_first_sparse)
     rows = sinks.write_parquet(silver, layout.silver)
     catalog.create_database(spark, settings.table.split(".")[0])
@@ -76,7 +79,8 @@ def training_rows(silver: DataFrame, settings: Settings) -> DataFrame:
     chosen = catalog.select_available(silver, profile.learning_columns, profile.learning_required)
     if settings.sample_rows is not None:
         chosen = bounded_sample(chosen, settings.sample_rows, [profile.key])
-        chosen = features.spread(chosen, profile.key, TRAINING_PARTITIONS)
+        # Few partitions: each one holds and ships the statistics of a whole tree level.
+        chosen = features.spread(chosen, profile.key, -(-settings.sample_rows // TRAINING_ROWS_PER_PARTITION))
     return features.prepare(chosen, profile)
 
 

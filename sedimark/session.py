@@ -10,14 +10,15 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-# Cluster sizing (executors, memory, shuffle partitions) stays with spark-submit; these are semantics
-# and the adaptive features every job relies on.
+# Cluster sizing (executors, memory, shuffle partitions) stays with spark-submit; these are semantics,
+# the adaptive features every job relies on, and plan-building cost.
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python call site of every column expression costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -52,9 +53,3 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark).rstrip('/')}/sedimark/{label}-{uuid.uuid4().hex}"
-
-
-def ensure_checkpointing(spark: SparkSession) -> None:
-    """Make `DataFrame.checkpoint()` usable with the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))

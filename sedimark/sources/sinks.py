@@ -14,8 +14,19 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
+from sedimark.session import fresh_path
+
 log = logging.getLogger(__name__)
 
+# Spark's defaults for CSV trim spaces and cut timestamps to milliseconds.
+CSV_EXACT = {
+    "header": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
 
 def _counted(df: DataFrame, save: Callable[[DataFrameWriter], None]) -> int:
     seen = Observation()
@@ -50,15 +61,18 @@ def write_parquet(
 def write_csv(
     df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None, even: bool = False
 ) -> int:
-    """Rows written, with a header and with leading and trailing spaces kept; see `write_parquet`."""
-    return _counted(
-        _arranged(df, files, even),
-        lambda w: w.mode(mode)
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path),
-    )
+    """Rows written, so that reading them with the same schema gives them back; see `write_parquet`."""
+    return _counted(_arranged(df, files, even), lambda w: w.mode(mode).options(**CSV_EXACT).csv(path))
+
+
+def materialized(df: DataFrame, label: str, even: bool = False) -> tuple[DataFrame, int]:
+    """The frame as a table written in the shared folder, and its row count.
+
+    Later readers start from the files: nothing before the write runs again, even if executors are lost.
+    """
+    path = fresh_path(df.sparkSession, label)
+    rows = write_parquet(df, path, even=even)
+    return df.sparkSession.read.schema(df.schema).parquet(path), rows
 
 
 def jdbc_options(connection: Mapping[str, str], table: str, connections: int = 8, batch: int = 10_000) -> dict[str, str]:
