@@ -39,7 +39,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(all rows without the corrupt-line column, the unreadable lines)."""
+    """(all rows without the corrupt-line column, the unreadable lines).
+
+    The second needs a stored or persisted frame: Spark cannot tell bad lines from a pruned CSV scan.
+    """
     return df.drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 

@@ -61,7 +61,10 @@ def write_parquet(
 def write_csv(
     df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None, even: bool = False
 ) -> int:
-    """Rows written, so that reading them with the same schema gives them back; see `write_parquet`."""
+    """Rows written; see `write_parquet`.
+
+    Reading with the same schema gives the rows back, but for empty text, which reads as null.
+    """
     return _counted(_arranged(df, files, even), lambda w: w.mode(mode).options(**CSV_EXACT).csv(path))
 
 

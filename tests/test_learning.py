@@ -1,0 +1,105 @@
+import pytest
+from pyspark.sql import functions as F
+
+from sedimark.learning import features, severity, zones
+from sedimark.plans import jobs
+from sedimark.sources.fixtures import PROFILE, incidents_silver
+from sedimark.sources.layout import Layout
+
+TREES = 10
+
+
+@pytest.fixture(scope="module")
+def prepared(spark):
+    silver = incidents_silver(spark, "/root/testdata/sf0.01")
+    kept = jobs.training_rows(silver, jobs.Settings(Layout("/nowhere"), profile=PROFILE)).persist()
+    yield kept
+    kept.unpersist()
+
+
+@pytest.fixture(scope="module")
+def run(prepared):
+    return severity.train_severity(prepared, trees=TREES)
+
+
+def test_features_are_numeric_and_complete(prepared):
+    inputs = features.available(prepared, features.SEVERITY_INPUTS)
+    assert "crossing" in inputs and "hour" in inputs and "amenity" not in inputs
+    row = prepared.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in inputs]).first()
+    assert set(row) == {0}
+
+
+def test_preparation_accepts_few_columns(spark):
+    rows = spark.createDataFrame([(2, 30.0, -100.0), (9, 30.0, -100.0)], "severity int, start_lat double, start_lng double")
+    assert features.prepare(rows, PROFILE).columns == ["severity", "start_lat", "start_lng"]
+    assert features.prepare(rows, PROFILE).count() == 1
+
+
+def test_confusion_adds_up_to_the_test_rows(run):
+    total = run.confusion.agg(F.sum("count")).first()[0]
+    assert total == run.predictions.count() == run.metrics.first()["test_rows"]
+
+
+def test_model_beats_the_majority(run):
+    row = run.metrics.first()
+    assert row["accuracy"] > row["majority_share"] + 0.2
+    assert 0 < row["weighted_f1"] <= 1
+    assert row["accuracy"] == run.accuracy == run.predictions.first()["accuracy"]
+
+
+def test_metrics_of_a_known_confusion(spark):
+    rows = spark.createDataFrame([(1, 1.0, 3), (1, 2.0, 1), (2, 2.0, 4), (3, 1.0, 2)], "severity int, prediction double, count bigint")
+    row = severity.metrics_of(rows).first()
+    assert row["accuracy"] == 0.7 and row["majority_share"] == 0.4 and row["test_rows"] == 10
+    f1 = {1: 6 / 9, 2: 8 / 9, 3: 0.0}
+    assert abs(row["weighted_f1"] - (4 * f1[1] + 4 * f1[2] + 2 * f1[3]) / 10) < 1e-12
+
+
+def test_prediction_columns(run):
+    assert run.predictions.columns == [
+        "severity", "prediction", "start_lat", "start_lng", "model_type", "accuracy", "training_timestamp",
+    ]
+
+
+def test_importance_is_ranked(run):
+    rows = severity.feature_importance(run).collect()
+    weights = [r["importance"] for r in rows]
+    assert weights == sorted(weights, reverse=True) and abs(sum(weights) - 1) < 1e-9
+    assert severity.feature_importance(run, top=5).count() == 5
+
+
+def test_training_does_not_depend_on_layout(spark, run):
+    silver = incidents_silver(spark, "/root/testdata/sf0.01").repartition(5, "city")
+    again = jobs.training_rows(silver, jobs.Settings(Layout("/nowhere"), profile=PROFILE))
+    assert severity.train_severity(again, trees=TREES).accuracy == run.accuracy
+
+
+def test_too_little_data_gives_no_model(spark, prepared):
+    assert severity.train_severity(prepared.orderBy("id").limit(90)) is None
+    assert severity.train_severity(prepared.select("id", "severity", "start_lat", "start_lng")) is None
+
+
+def test_saved_model_scores_every_row(spark, run, prepared, tmp_path):
+    path = str(tmp_path / "m")
+    severity.save_model(run.model, path)
+    severity.save_model(run.model, path)
+    scored = severity.score(severity.load_model(path), prepared)
+    assert scored.count() == prepared.count()
+    assert scored.columns == [*prepared.columns, "prediction"]
+
+
+def test_zones(prepared):
+    model = zones.fit_zones(prepared)
+    rows = zones.zone_profile(zones.assign_zones(model, prepared)).collect()
+    assert [r["risk_zone"] for r in rows] == [0, 1, 2, 3, 4]
+    assert sum(r["accident_count"] for r in rows) == prepared.count()
+    lats = sorted(tuple(c)[:2] for c in model.stages[-1].clusterCenters())
+    for row, centre in zip(rows, lats, strict=True):
+        assert abs(row["center_lat"] - centre[0]) < 1.0 and abs(row["center_lng"] - centre[1]) < 1.0
+    again = zones.zone_profile(zones.assign_zones(zones.fit_zones(prepared), prepared)).collect()
+    assert [r["accident_count"] for r in again] == [r["accident_count"] for r in rows]
+
+
+def test_scaled_zones(prepared):
+    model = zones.fit_zones(prepared, zones=3, scaled=True)
+    assert zones.assign_zones(model, prepared).select("risk_zone").distinct().count() == 3
