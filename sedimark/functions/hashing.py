@@ -37,14 +37,18 @@ def below_fraction(digest: Column, fraction: float) -> Column:
 
 def weighted_label(keys: Sequence[str], weights: Mapping[str, float], seed: int, purpose: str) -> Column:
     """One of the labels per row, drawn with the given weights; each row gets exactly one."""
-    if not weights or any(w <= 0 for w in weights.values()):
+    return label_of(portable_hash(keys, seed, purpose), [(F.lit(name), share) for name, share in weights.items()])
+
+
+def label_of(digest: Column, shares: Sequence[tuple[Column, float]]) -> Column:
+    """The label whose share of the digests, laid out in the given order, holds this one."""
+    if not shares or any(share <= 0 for _, share in shares):
         raise ValueError("weights must be positive")
-    total = sum(weights.values())
-    digest = portable_hash(keys, seed, purpose)
-    labels = list(weights)
+    total = sum(share for _, share in shares)
     reached, ladder = 0.0, None
-    for label in labels[:-1]:
-        reached += weights[label] / total
+    for label, share in shares[:-1]:
+        reached += share / total
         branch = below_fraction(digest, reached)
         ladder = F.when(branch, label) if ladder is None else ladder.when(branch, label)
-    return F.lit(labels[-1]) if ladder is None else ladder.otherwise(labels[-1])
+    last = shares[-1][0]
+    return last if ladder is None else ladder.otherwise(last)

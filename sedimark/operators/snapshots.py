@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimark.functions import weighted_label
+from sedimark.functions import label_of, portable_hash, weighted_label
 
 BATCH = "situation_date"
 
@@ -23,7 +23,9 @@ def tag_batch(df: DataFrame, day: str) -> DataFrame:
 
 def spread_over_days(df: DataFrame, weights: Mapping[str, float], keys: Sequence[str], seed: int = 42) -> DataFrame:
     """Give every row one of the days by weight, from its key alone, in the same pass that reads it."""
-    return df.withColumn(BATCH, F.to_date(weighted_label(keys, weights, seed, "batch")))
+    hashed = df.withColumn("__digest", portable_hash(keys, seed, "batch"))
+    days = [(F.to_date(F.lit(day)), share) for day, share in weights.items()]
+    return hashed.withColumn(BATCH, label_of(F.col("__digest"), days)).drop("__digest")
 
 
 def split_by_weight(
