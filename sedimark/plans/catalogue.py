@@ -506,7 +506,7 @@ def run_summary(spark: SparkSession, folder: str) -> DataFrame:
     done = jobs.run_all(spark, settings)
     learned, exported = done["learn"], done["export"]
     row = (
-        done["refine"]["silver_rows"],
+        done["refine"]["final_rows"],
         learned["samples"],
         learned.get("severity_accuracy"),
         learned["risk_zones"],

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimark.operators.cleaning import clean, quality_report
-from sedimark.operators.dedup import keep_first, keep_first_sparse
+from sedimark.operators.dedup import deduplicate, keep_first, keep_first_sparse
 from sedimark.operators.filling import fill_defaults, fill_from_column
 from sedimark.operators.validity import require, within
 from sedimark.profile import INCIDENTS, RAW_COLUMNS
@@ -150,12 +150,14 @@ def copies(spark, rows=3000):
 def test_sparse_dedup_equals_ranking(spark, limit):
     rows = copies(spark)
     ranked = keep_first(rows, "k", ["v", "id"])
-    sparse = keep_first_sparse(rows, "k", ["v", "id"], broadcast_keys=limit)
+    counted = deduplicate(rows, "k", ["v", "id"], broadcast_keys=limit)
+    sparse = counted.rows
     best = {}
     for r in sorted(rows.collect(), key=lambda r: (r["k"], r["v"], r["id"])):
         best.setdefault(r["k"], tuple(r))
     assert sorted(map(tuple, ranked.collect())) == sorted(best.values())
     assert sorted(map(tuple, sparse.collect())) == sorted(best.values())
+    assert (counted.before, counted.after) == (3000, len(best))
 
 
 def test_sparse_dedup_leaves_unique_rows_in_place(spark, plan):

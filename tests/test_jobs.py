@@ -3,6 +3,7 @@ from oracle_check import connect, differences
 
 import __spark_entry__ as contract
 from sedimark.operators import snapshots
+from sedimark.operators.cleaning import quality_report
 from sedimark.plans import jobs
 from sedimark.plans.catalogue import comparable
 from sedimark.plans.serving import MARTS
@@ -27,14 +28,18 @@ def done(spark, settings):
 
 
 def test_reports_of_the_jobs(done):
-    assert done["refine"]["silver_rows"] == done["refine"]["final_rows"] == 544
-    assert done["refine"]["initial_rows"] == 1053
+    assert done["refine"]["final_rows"] == 544
     assert done["learn"]["samples"] == sum(done["learn"]["class_distribution"].values()) == 544
     assert done["learn"]["risk_zones"] == 5 and done["learn"]["severity_accuracy"] > 0.5
     assert done["marts"]["time_patterns"] == 165
     assert {m: rows for m, (rows, _) in done["export"].items() if m in done["marts"]} == done["marts"]
 
 
+def test_refine_reports_what_the_quality_query_says(spark, settings, done):
+    bronze, _ = files.split_corrupt(files.read_parquet(spark, settings.layout.bronze))
+    assert quality_report(bronze, PROFILE).first().asDict() == done["refine"]
+
+
 def test_every_mart_is_written_and_exported(spark, settings, done):
     for mart in MARTS:
         stored = files.read_parquet(spark, settings.layout.gold(mart))
@@ -57,17 +62,17 @@ def test_marts_match_sql(spark, settings, small, done):
 
 def test_jobs_can_run_again(spark, settings, done):
     jobs.ingest(spark, settings)
-    assert jobs.refine(spark, settings)["silver_rows"] == 544
+    assert jobs.refine(spark, settings)["final_rows"] == 544
     assert jobs.build_marts(spark, settings) == done["marts"]
 
 
 def test_refine_an_earlier_day(spark, settings, done, tmp_path):
     from dataclasses import replace
 
-    first = replace(settings, layout=Layout(str(tmp_path)), table="jobs_test.first_day", report=False)
+    first = replace(settings, layout=Layout(str(tmp_path)), table="jobs_test.first_day")
     bronze = files.read_parquet(spark, settings.layout.bronze)
     snapshots.write_batches(bronze, first.layout.bronze)
-    rows = jobs.refine(spark, first, as_of="2025-01-01")["silver_rows"]
+    rows = jobs.refine(spark, first, as_of="2025-01-01")["final_rows"]
     assert 0 < rows < 544
 
 
