@@ -1,9 +1,9 @@
 """Hash-derived decisions that do not depend on partition layout, row order or engine version.
 
 Rows are placed by the MD5 text of a purpose, a seed and their key. The purpose keeps decisions
-independent: with one hash for all, a sample of the smallest hashes would lie in one part of any split. Hex digests compare as text in the order of
-the numbers they stand for, so "the first 33 %" is a plain string comparison with a constant, and any
-SQL engine can reproduce the choice.
+independent: with one hash for all, a sample of the smallest hashes would lie in one part of any split.
+Hex digests compare as text in the order of the numbers they stand for, so "the first 33 %" is a plain
+string comparison with a constant, and any SQL engine can reproduce the choice.
 """
 
 from __future__ import annotations

@@ -47,7 +47,9 @@ def metrics_of(confusion: DataFrame) -> DataFrame:
     hit = F.when(F.col("label") == F.col("guess"), F.col("count")).otherwise(0)
     # One row per class that occurs as label or as prediction.
     per_class = (
-        sized.select(F.col("label").alias("class"), F.col("count").alias("support"), F.lit(0).alias("guessed"), hit.alias("hits"))
+        sized.select(
+            F.col("label").alias("class"), F.col("count").alias("support"), F.lit(0).alias("guessed"), hit.alias("hits")
+        )
         .unionAll(sized.select(F.col("guess"), F.lit(0), F.col("count"), F.lit(0)))
         .groupBy("class")
         .agg(F.sum("support").alias("support"), F.sum("guessed").alias("guessed"), F.sum("hits").alias("hits"))

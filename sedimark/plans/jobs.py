@@ -28,7 +28,7 @@ log = logging.getLogger(__name__)
 DAYS = {"2025-01-01": 0.33, "2025-01-02": 0.33, "2025-01-03": 0.34}
 SAMPLE_ROWS = 150_000
 MART_FILES = 2
-SILVER_TABLE = "accident_analysis_db.accidents_silver"
+SILVER_TABLE = "incidents_db.silver"
 TRAINING_ROWS_PER_PARTITION = 20_000
 
 # Marts with a row per scored record; all others have a top-k or a small key domain.

@@ -48,7 +48,8 @@ def test_model_beats_the_majority(run):
 
 
 def test_metrics_of_a_known_confusion(spark):
-    rows = spark.createDataFrame([(1, 1.0, 3), (1, 2.0, 1), (2, 2.0, 4), (3, 1.0, 2)], "severity int, prediction double, count bigint")
+    schema = "severity int, prediction double, count bigint"
+    rows = spark.createDataFrame([(1, 1.0, 3), (1, 2.0, 1), (2, 2.0, 4), (3, 1.0, 2)], schema)
     row = severity.metrics_of(rows).first()
     assert row["accuracy"] == 0.7 and row["majority_share"] == 0.4 and row["test_rows"] == 10
     f1 = {1: 6 / 9, 2: 8 / 9, 3: 0.0}

@@ -48,7 +48,8 @@ def test_cities_hold_their_promises(spark):
 
 
 def test_cells_round_half_away_from_zero(spark):
-    places = spark.createDataFrame([(0.25, -80.25, 1), (0.15, -118.35, 1)], "start_lat double, start_lng double, severity int")
+    schema = "start_lat double, start_lng double, severity int"
+    places = spark.createDataFrame([(0.25, -80.25, 1), (0.15, -118.35, 1)], schema)
     cells = marts.grid_hotspots(min_rows=1).of(places).select("lat_grid", "lng_grid")
     assert sorted(map(tuple, cells.collect())) == [(0.2, -118.4), (0.3, -80.3)]
 

@@ -61,7 +61,8 @@ def test_rerun_replaces_its_day_only(spark, stored):
     before = {r["situation_date"]: r["count"] for r in bronze.groupBy("situation_date").count().collect()}
     again = snapshots.tag_batch(spark.range(5).withColumn("city", F.lit("new")), DAYS[1])
     snapshots.write_batches(again, stored)
-    after = {r["situation_date"]: r["count"] for r in read_parquet(spark, stored).groupBy("situation_date").count().collect()}
+    counted = read_parquet(spark, stored).groupBy("situation_date").count()
+    after = {r["situation_date"]: r["count"] for r in counted.collect()}
     changed = [d for d in before if before[d] != after[d]]
     assert [str(d) for d in changed] == [DAYS[1]] and after[changed[0]] == 5
 
