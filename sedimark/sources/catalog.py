@@ -36,7 +36,8 @@ def register_external(
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {quoted(database)}")
+    """The tables of a database, without the session's temporary views."""
+    return spark.sql(f"SHOW TABLES IN {quoted(database)}").where("NOT isTemporary")
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:

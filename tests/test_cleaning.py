@@ -165,6 +165,12 @@ def test_sparse_dedup_leaves_unique_rows_in_place(spark, plan):
     assert "Exchange" not in plan(keep_first_sparse(rows, "id", ["v"]))
 
 
+def test_sparse_dedup_shuffles_copies_only(spark, plan):
+    text = plan(keep_first_sparse(copies(spark), "k", ["v", "id"]))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "LeftAnti" in text and "LeftSemi" in text and "SortMergeJoin" not in text
+
+
 def test_ranking_limits_groups_before_the_shuffle(spark, plan):
     text = plan(keep_first(copies(spark), "k", ["v", "id"]))
     assert text.count("WindowGroupLimit") == 2

@@ -1,12 +1,17 @@
 import pytest
 from oracle_check import connect, differences
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import __spark_entry__ as contract
+import scale_check
+from sedimark.functions import tidy_name
 from sedimark.operators import snapshots
 from sedimark.operators.cleaning import quality_report
-from sedimark.plans import jobs
+from sedimark.plans import jobs, marts
 from sedimark.plans.catalogue import comparable
 from sedimark.plans.serving import MARTS
+from sedimark.profile import INCIDENTS, RAW_COLUMNS
 from sedimark.sources import catalog, files, sinks
 from sedimark.sources.fixtures import PROFILE, incidents_bronze
 from sedimark.sources.layout import Layout
@@ -91,3 +96,33 @@ def test_a_failing_job_ends_the_run(spark, settings, tmp_path):
 
     with pytest.raises(Exception, match="missing.csv"):
         jobs.run_all(spark, replace(settings, source=str(tmp_path / "missing.csv")))
+
+
+def test_full_source_layout(spark, small, tmp_path, monkeypatch):
+    """46 source columns by their raw names, default profile and schema."""
+    monkeypatch.setattr(scale_check, "SF_DIR", small)
+    sinks.write_csv(scale_check.source_rows(spark, 2000), str(tmp_path / "source"))
+    full = jobs.Settings(Layout(str(tmp_path / "tables")), str(tmp_path / "source"), table="jobs_test.full")
+    jobs.ingest(spark, full)
+    report = jobs.refine(spark, full)
+    assert report["initial_rows"] == 2000 and 0 < report["final_rows"] < report["distinct_rows"]
+    silver = catalog.read_table(spark, full.table)
+    assert silver.columns == [*[tidy_name(c) for c in RAW_COLUMNS], "situation_date"]
+    assert len(silver.columns) == 47
+    kinds = {f.name: f.dataType.simpleString() for f in silver.schema}
+    assert all(kinds[c] == t for c, t in INCIDENTS.types.items())
+    filled = [*INCIDENTS.required, *INCIDENTS.defaults, *INCIDENTS.fallbacks]
+    assert set(silver.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in filled]).first()) == {0}
+    assert silver.select("id").distinct().count() == silver.count() == report["final_rows"]
+    assert set(jobs.build_marts(spark, full)) == {"state_stats", "time_patterns", "weather_analysis", "city_hotspots"}
+    weather = marts.weather_table(silver)
+    assert len(weather.columns) == 11 and weather.count() == report["final_rows"]
+
+
+def test_unreadable_source_lines_stay_in_bronze(spark, tmp_path):
+    (tmp_path / "source.csv").write_text("ID,Severity\na,2\nb,two\nc,3\n")
+    schema = T.StructType.fromDDL("ID string, Severity int")
+    settings = jobs.Settings(Layout(str(tmp_path / "tables")), str(tmp_path / "source.csv"), schema)
+    jobs.ingest(spark, settings)
+    rows, bad = files.split_corrupt(files.read_parquet(spark, settings.layout.bronze))
+    assert rows.count() == 3 and [r[0] for r in bad.collect()] == ["b,two"]
