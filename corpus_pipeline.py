@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimark.llm import mixing, simhash
+from sedimark.llm import language, mixing, pieces, simhash, toxicity
 from sedimark.llm.tables import read_table, stored
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents near a learned language stay."""
+    return language.drop_rejected(docs)
+
+
+def toxic_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the toxic threshold stay."""
+    return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays."""
     return simhash.drop_near_duplicates(docs)
@@ -18,9 +28,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document of the mix."""
+    return pieces.encoded(docs)
+
+
 STAGES = [
+    ("language_id", language_id),
+    ("toxicity", toxic_passages),
     ("simhash_near_dedup", near_duplicates),
     ("mixing", mix),
+    ("pieces", encode),
 ]
 
 # Learned models and seeded segmentation are not expressible in SQL; see tests/llm.

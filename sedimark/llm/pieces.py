@@ -41,7 +41,7 @@ def default_model() -> str:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    characters: dict[str, int]  # pieces of one character
+    letters: np.ndarray  # id of the piece of each code point, -1 without one; the space has that of MARK
     byte_ids: list[int]  # id of each fallback byte
     table: np.ndarray  # open-addressed: left * size + right -> slot
     merged: np.ndarray  # id of the concatenation, per slot
@@ -88,8 +88,12 @@ def vocabulary(path: str) -> Vocabulary:
         while table[at] >= 0:
             at = (at + 1) % (1 << _WIDTH)
         table[at], merged[at] = key, i
-    singles = {p: i for p, i in plain.items() if len(p) == 1}
-    return Vocabulary(singles, byte_ids, table, merged, rank, size, content)
+    letters = np.full(0x110000, -1, np.int64)
+    for p, i in plain.items():
+        if len(p) == 1:
+            letters[ord(p)] = i
+    letters[ord(" ")], letters[ord(MARK)] = letters[ord(MARK)], -1
+    return Vocabulary(letters, byte_ids, table, merged, rank, size, content)
 
 
 def _concatenations(v: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -117,19 +121,20 @@ def _keyed(words: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.nda
     return x ^ (x >> np.uint64(29))
 
 
-def _merge_block(v: Vocabulary, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray, dropout: float) -> list[np.ndarray]:
+def _merge_block(
+    v: Vocabulary, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray, dropout: float
+) -> tuple[np.ndarray, np.ndarray]:
     """The agenda for many units at once: each round does the best open merge of every unit.
 
-    `symbols` is padded with -1. A merge's place is given by the characters where it starts, divides and
+    `symbols` is padded with -1; returns the symbols left, padded, and their number per unit. A merge's place is given by the characters where it starts, divides and
     ends, so the decision to skip it does not depend on the order in which it is met.
     """
     limit = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
     count = lengths.copy()
     starts = np.tile(np.arange(symbols.shape[1] + 1), (len(symbols), 1))
-    done: list[np.ndarray] = [np.zeros(0)] * len(symbols)
+    left, left_count = np.full(symbols.shape, -1, np.int64), np.zeros(len(symbols), np.int64)
     rows = np.arange(len(symbols))
     joined = np.full(symbols.shape, -1, np.int64)
-    fresh = np.ones(symbols.shape, bool)
 
     def judge(r: np.ndarray, c: np.ndarray) -> None:
         """Fill `joined` at the given gaps: the merged id, or -1 when there is none or it is skipped."""
@@ -142,14 +147,13 @@ def _merge_block(v: Vocabulary, symbols: np.ndarray, lengths: np.ndarray, keys:
         joined[r, c] = made
 
     if symbols.shape[1] > 1:
-        r, c = np.nonzero(fresh[:, :-1] & (np.arange(symbols.shape[1] - 1) < (count - 1)[:, None]))
-        judge(r, c)
+        judge(*np.nonzero(np.arange(symbols.shape[1] - 1) < (count - 1)[:, None]))
     while len(rows):
         ranks = np.where(joined >= 0, v.rank[joined], _NONE)
         best = ranks.argmin(axis=1)
         going = ranks[np.arange(len(rows)), best] < _NONE
-        for k in np.flatnonzero(~going):
-            done[rows[k]] = symbols[k, : count[k]]
+        left[rows[~going], : symbols.shape[1]] = symbols[~going]
+        left_count[rows[~going]] = count[~going]
         rows, symbols, starts, joined = rows[going], symbols[going], starts[going], joined[going]
         keys, count, best = keys[going], count[going], best[going]
         if not len(rows):
@@ -168,7 +172,7 @@ def _merge_block(v: Vocabulary, symbols: np.ndarray, lengths: np.ndarray, keys:
             judge(here[ok], column[ok])
         width = int(count.max())
         symbols, joined, starts = symbols[:, :width].copy(), joined[:, :width].copy(), starts[:, : width + 1].copy()
-    return done
+    return left, left_count
 
 
 def _merge_long(v: Vocabulary, symbols: Sequence[int], key: int, dropout: float) -> list[int]:
@@ -221,51 +225,55 @@ class Encoder:
     def _key(self, unit: str, variant: int) -> int:
         return xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + variant)
 
-    def _split(self, units: list[tuple[str, int]]) -> list[np.ndarray]:
-        """Ids of each (unit, variant)."""
-        v, out = self.v, [np.zeros(0, np.int32)] * len(units)
-        by_width: dict[int, list[int]] = {}
-        spelled: list[list[int]] = []
-        for at, (unit, variant) in enumerate(units):
-            symbols = [] if unit == MARK else [v.characters.get(c, -1) for c in unit.replace(" ", MARK)]
-            spelled.append(symbols)
-            if 0 < len(symbols) <= _LONG:
-                by_width.setdefault(-(-len(symbols) // 4) * 4, []).append(at)
-            elif symbols:
-                out[at] = np.array(_merge_long(v, symbols, self._key(unit, variant), self.dropout))
-        for width, members in by_width.items():
-            for lo in range(0, len(members), 20_000):
-                part = members[lo : lo + 20_000]
-                block = np.full((len(part), width), -1, np.int64)
-                for k, at in enumerate(part):
-                    block[k, : len(spelled[at])] = spelled[at]
-                keys = np.array([self._key(*units[at]) for at in part], np.uint64)
-                lengths = np.array([len(spelled[at]) for at in part])
-                for at, ids in zip(part, _merge_block(v, block, lengths, keys, self.dropout), strict=True):
-                    out[at] = ids
-        for at, (unit, _) in enumerate(units):
-            if unit == MARK or -1 in spelled[at]:
-                out[at] = self._with_bytes(unit, out[at])
-        return out
+    def _split(self, units: list[tuple[str, int]]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """Per block of units: their places in `units`, their ids end to end, and the number of ids of each."""
+        v = self.v
+        lengths = np.fromiter((len(u) for u, _ in units), np.int64, len(units))
+        points = np.frombuffer("".join(u for u, _ in units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        symbols, starts = v.letters[points], np.cumsum(lengths) - lengths
+        order = np.argsort(lengths, kind="stable")
+        short = order[: np.searchsorted(lengths[order], _LONG, side="right")]
+        for lo in range(0, len(short), 20_000):
+            part = short[lo : lo + 20_000]
+            n = lengths[part]
+            row = np.repeat(np.arange(len(part)), n)
+            column = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            block = np.full((len(part), int(n.max())), -1, np.int64)
+            block[row, column] = symbols[np.repeat(starts[part], n) + column]
+            places = part.tolist()
+            keys = np.array([self._key(*units[i]) for i in places], np.uint64)
+            left, count = _merge_block(v, block, n, keys, self.dropout)
+            inside = np.arange(left.shape[1]) < count[:, None]
+            flat = left[inside]
+            if (flat < 0).any():
+                pieces = np.split(flat, np.cumsum(count)[:-1])
+                pieces = [self._with_bytes(units[i][0], p) if (p < 0).any() else p for i, p in zip(places, pieces, strict=True)]
+                flat, count = np.concatenate(pieces), np.array([len(p) for p in pieces])
+            yield places, flat, count
+        for i in order[len(short) :].tolist():
+            ids = _merge_long(v, symbols[starts[i] : starts[i] + lengths[i]].tolist(), self._key(*units[i]), self.dropout)
+            made = self._with_bytes(units[i][0], np.array(ids))
+            yield [i], made, np.array([len(made)])
 
     def _with_bytes(self, unit: str, ids: np.ndarray) -> np.ndarray:
         """Unknown characters, each standing alone as -1, replaced by the ids of their bytes."""
-        unknown = iter(c for c in unit if c == MARK or (c != " " and c not in self.v.characters))
-        if unit == MARK:
-            ids = np.array([-1])
+        unknown = iter(c for c in unit if self.v.letters[ord(c)] < 0)
         made: list[int] = []
         for i in ids.tolist():
             made.extend([i] if i >= 0 else [self.v.byte_ids[b] for b in next(unknown).encode("utf-8", "surrogatepass")])
-        return np.array(made)
+        return np.array(made, np.int64)
 
     def _learn(self, missing: list[tuple[str, int]]) -> None:
-        made = self._split(missing)
-        sizes = np.array([len(m) for m in made], np.int64)
-        base = len(self.starts)
+        order: list[int] = []
+        ids, counts = [self.ids], []
+        for places, flat, count in self._split(missing):
+            order.extend(places)
+            ids.append(flat.astype(np.int32))
+            counts.append(count)
+        base, sizes = len(self.starts), np.concatenate(counts)
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, *made]).astype(np.int32)
-        self.known.update(zip(missing, range(base, base + len(missing)), strict=True))
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate(ids)
+        self.known.update(zip(map(missing.__getitem__, order), range(base, base + len(order)), strict=True))
 
     def encode(self, texts: Sequence[str], keys: Sequence[int]) -> list[np.ndarray]:
         """Ids of every text; `keys` draws the variants of its words."""

@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimark.llm import mixing, simhash
+from sedimark.llm import language, mixing, pieces, quality, simhash, toxicity
 from sedimark.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(read_table(spark, sf_dir, "documents"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -20,6 +28,21 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op6_mixing": op6_mixing, "op8_simhash": op8_simhash}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {
+    "op2_pieces": op2_pieces,
+    "op4_language": op4_language,
+    "op6_mixing": op6_mixing,
+    "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
+}
 
 ORACLE: dict[str, str] = {"op6_mixing": mixing.ORACLE}
