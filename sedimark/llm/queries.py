@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimark.llm import language, mixing, pieces, quality, simhash, toxicity
+from sedimark.llm import language, mixing, pieces, quality, simhash, tokens, toxicity, warc
 from sedimark.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digests(read_table(spark, sf_dir, "pages"))
+
+
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(read_table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.round_trip(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -37,12 +45,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
     "op2_pieces": op2_pieces,
     "op4_language": op4_language,
     "op6_mixing": op6_mixing,
+    "op7_tokens": op7_tokens,
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
 }
 
-ORACLE: dict[str, str] = {"op6_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE}
