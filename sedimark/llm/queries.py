@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimark.llm import language, mixing, pieces, quality, simhash, tokens, toxicity, warc
+from sedimark.llm import language, mixing, pieces, quality, search, simhash, tokens, toxicity, vectors, warc
 from sedimark.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +20,18 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(read_table(spark, sf_dir, "documents"))
 
 
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op5_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.conversations(read_table(spark, sf_dir, "conversations"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -47,7 +55,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_pieces": op2_pieces,
+    "op3_vectors": op3_vectors,
     "op4_language": op4_language,
+    "op5_search": op5_search,
     "op6_mixing": op6_mixing,
     "op7_tokens": op7_tokens,
     "op8_simhash": op8_simhash,
@@ -55,4 +65,9 @@ QUERIES: dict[str, Query] = {
     "op10_quality": op10_quality,
 }
 
-ORACLE: dict[str, str] = {"op1_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {
+    "op1_warc": warc.ORACLE,
+    "op3_vectors": vectors.ORACLE,
+    "op5_search": search.ORACLE,
+    "op6_mixing": mixing.ORACLE,
+}
