@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimark.llm.graph import Forest, connected
 from sedimark.llm.tables import stored
@@ -49,7 +50,7 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(ones * 2 > size).tobytes(), "big")
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def _fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in texts:
         values = np.array([fingerprint(t) for t in batch], dtype=np.uint64)

@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimark.llm.labelled import training_texts
 from sedimark.llm.tables import crc_fold, stored
@@ -122,7 +123,7 @@ def _sketch(words: list[str]) -> int:
     return min(map(xxhash.xxh64_intdigest, runs)) & (2**63 - 1)
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def _sketches(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in texts:
         yield batch.map(lambda t: _sketch(_WORD.findall(t.lower()))).astype("int64")
