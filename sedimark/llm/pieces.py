@@ -13,21 +13,21 @@ A literal U+2581, which the model uses for the space, is written by its bytes, s
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 DROPOUT, SEED, VARIANTS = 0.1, 42, 4
 MARK = "▁"
 # A unit is what merges cannot cross: a run of spaces with the letters after it, or a control character.
 _UNIT = re.compile(r" +[^ \x00-\x1f▁]*|[^ \x00-\x1f▁]+|[\x00-\x1f▁]")
-_KEPT_UNITS = 400_000
+_KEPT_UNITS = 250_000
 _NONE = np.int64(1) << 40
 # Units longer than this are merged one by one with their own agenda, not padded into a block.
 _LONG = 64
@@ -308,7 +308,7 @@ def decode(v: Vocabulary, ids: Sequence[int]) -> str:
     return made[1:].decode("utf-8", "surrogatepass")
 
 
-def _blocks(texts: list[str], size: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def _blocks(texts: list[str], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `size` characters, so a batch with long texts is not encoded at once."""
     start, held = 0, 0
     for i, t in enumerate(texts):
@@ -330,22 +330,27 @@ def encoded(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model:
     """
     path = model or default_model()
 
-    @F.pandas_udf("ids array<int>, ids_crc32 bigint, lossless boolean")
-    def encode_batch(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        import zlib
-
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         encoder = Encoder(v, dropout, seed)
-        for names, texts in batches:
-            plain = [t if isinstance(t, str) else "" for t in texts]
-            keys = [xxhash.xxh64_intdigest(f"{n}|{len(t)}|{t[:64]}", seed) for n, t in zip(names, plain, strict=True)]
-            rows = []
+        for batch in batches:
+            plain = [t or "" for t in batch.column(1).to_pylist()]
             for lo, hi in _blocks(plain):
-                for text, ids in zip(plain[lo:hi], encoder.encode(plain[lo:hi], keys[lo:hi]), strict=True):
-                    rows.append((ids, zlib.crc32(ids.astype("<u4").tobytes()), decode(v, ids.tolist()) == text))
-            yield pd.DataFrame(rows, columns=["ids", "ids_crc32", "lossless"])
-
-    # The key is passed as text, so that a null id and very large ids keep their value.
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    made = docs.select("doc_id", encode_batch(name, F.col("text")).alias("e"))
-    return made.select("doc_id", "e.ids", F.size("e.ids").cast("bigint").alias("n_ids"), "e.ids_crc32", "e.lossless")
+                part, names = plain[lo:hi], batch.column(0).slice(lo, hi - lo)
+                keys = [
+                    xxhash.xxh64_intdigest(f"{n}|{len(t)}|{t[:64]}".encode("utf-8", "replace"), seed)
+                    for n, t in zip(names.to_pylist(), part, strict=True)
+                ]
+                ids = encoder.encode(part, keys)
+                checks = [zlib.crc32(i.astype("<u4").tobytes()) for i in ids]
+                same = [decode(v, i.tolist()) == t for i, t in zip(ids, part, strict=True)]
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [names, lists, pa.array(np.diff(ends).astype(np.int64)), pa.array(checks, pa.int64()), pa.array(same)],
+                    ["doc_id", "ids", "n_ids", "ids_crc32", "lossless"],
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, ids array<int>, n_ids bigint, ids_crc32 bigint, lossless boolean"
+    return docs.select("doc_id", "text").mapInArrow(encode, schema)
