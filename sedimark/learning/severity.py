@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -10,8 +12,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimark.learning.features import SEVERITY_INPUTS, available
-from sedimark.operators.sampling import train_test
+from sedimark.learning.features import SEVERITY_INPUTS, available, spread
+from sedimark.operators.sampling import bounded_sample, train_test
+from sedimark.sources.sinks import kept
 
 LABEL = "severity"
 
@@ -19,6 +22,9 @@ LABEL = "severity"
 TREES, DEPTH, SEED = 50, 8, 42
 TRAIN_SHARE = 0.8
 MIN_INPUTS, MIN_TRAIN_ROWS = 3, 100
+# Labelled rows used to fit and test the classifier.
+SAMPLE_ROWS = 150_000
+ROWS_PER_PARTITION = 20_000
 
 
 @dataclass(frozen=True)
@@ -31,6 +37,20 @@ class SeverityRun:
     accuracy: float
 
 
+@contextmanager
+def training_sample(prepared: DataFrame, key: str, rows: int | None) -> Iterator[DataFrame | None]:
+    """At most `rows` prepared rows for the classifier, persisted meanwhile; None without the key column."""
+    if key not in prepared.columns:
+        yield None
+        return
+    chosen = prepared
+    if rows is not None:
+        # Few partitions: each one holds and ships the statistics of a whole tree level.
+        chosen = spread(bounded_sample(prepared, rows, [key]), key, -(-rows // ROWS_PER_PARTITION))
+    with kept(chosen) as sample:
+        yield sample
+
+
 def confusion_of(predictions: DataFrame) -> DataFrame:
     """Rows per (label, prediction)."""
     return predictions.groupBy(LABEL, "prediction").agg(F.count(F.lit(1)).alias("count"))

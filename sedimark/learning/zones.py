@@ -15,6 +15,11 @@ from sedimark.learning.features import ZONE_INPUTS, available
 ZONES, SEED = 5, 42
 
 
+def zone_columns(prepared: DataFrame) -> DataFrame:
+    """The inputs of the zones and what their profile reads."""
+    return prepared.select(*dict.fromkeys([*available(prepared, ZONE_INPUTS), "severity", "start_lat", "start_lng"]))
+
+
 def fit_zones(prepared: DataFrame, zones: int = ZONES, seed: int = SEED, scaled: bool = False) -> PipelineModel:
     """K-means over place and context; unscaled unless `scaled`, so that distance on the map dominates."""
     assembler = VectorAssembler(inputCols=available(prepared, ZONE_INPUTS), outputCol="raw", handleInvalid="skip")

@@ -39,7 +39,9 @@ def _leading_order(profile: RecordProfile) -> tuple[str, ...]:
 
 
 def clean(df: DataFrame, profile: RecordProfile, dedup: Dedup = keep_first, strict: bool = False) -> DataFrame:
-    """Rename, require, fill, deduplicate, normalise, check ranges, cast; in this order.
+    """Rename, require, fill, deduplicate, normalise, cast, check ranges; in this order.
+
+    Casts come before the range checks, so text that is no number costs its own row only.
 
     Deduplication precedes the range checks: a bad row that is first of its key removes its good
     copies. `strict` makes a rule for a column the frame lacks an error.
@@ -57,32 +59,34 @@ def clean(df: DataFrame, profile: RecordProfile, dedup: Dedup = keep_first, stri
     if not rules.tie_break_is_total:
         order = settle_ties(filled, rules.key, order)
     single = dedup(filled, rules.key, order)
-    checked = within(normalize_columns(single, rules.uppercase), rules.ranges)
-    return cast_columns(checked, dict(rules.types))
+    typed = cast_columns(normalize_columns(single, rules.uppercase), dict(rules.types))
+    return within(typed, rules.ranges)
 
 
 def quality_report(df: DataFrame, profile: RecordProfile) -> DataFrame:
     """One row: how many rows entered, passed each step of `clean`, and were removed.
 
-    Reads only the key, required, tie-break and range columns. Rows are first summed up per key, with
-    the survivor as the smallest (order, verdict) struct, which combines inside the map tasks; so
-    neither repeated keys nor the missing key make a large group.
+    Reads only the key, required, tie-break and range columns, once for the counts and once for the survivors,
+    which are ranked as in `keep_first`: every task sends one row per key.
     """
     named = tidy_names(df)
     rules = profile.bound_to(named.columns)
     judged = named.withColumn("__usable", all_present(rules.required))
     filled = fill_defaults(fill_from_column(judged, rules.fallbacks), rules.defaults)
-    verdict = F.coalesce(all_in_range(rules.ranges), F.lit(False)).alias("valid")
-    per_key = filled.groupBy(rules.key).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if("__usable").alias("usable"),
-        F.min(F.when(F.col("__usable"), F.struct(*_leading_order(rules), verdict))).alias("kept"),
-    )
-    totals = per_key.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("initial_rows"),
-        F.coalesce(F.sum("usable"), F.lit(0)).alias("required_rows"),
-        F.count("kept").alias("distinct_rows"),
-        F.count_if("kept.valid").alias("final_rows"),
+    verdict = F.coalesce(all_in_range(rules.ranges), F.lit(False))
+    order = _leading_order(rules)
+    # The order as it is in the data, as `clean` has it; the verdict on typed values.
+    judged = filled.select("__usable", rules.key, *[F.col(c).alias(f"__by_{i}") for i, c in enumerate(order)], *rules.ranges)
+    judged = cast_columns(judged, {c: t for c, t in rules.types.items() if c in rules.ranges and c != rules.key})
+    judged = judged.withColumn("__valid", verdict)
+    kept = keep_first(judged.where("__usable").select(rules.key, *[f"__by_{i}" for i in range(len(order))], "__valid"),
+                      rules.key, [*[f"__by_{i}" for i in range(len(order))], "__valid"])
+    none = F.lit(0).cast("bigint")
+    counts = judged.agg(F.count(F.lit(1)).alias("i"), F.count_if("__usable").alias("r"), none.alias("d"), none.alias("f"))
+    counts = counts.unionAll(kept.agg(none, none, F.count(F.lit(1)), F.count_if("__valid")))
+    totals = counts.agg(
+        F.sum("i").alias("initial_rows"), F.sum("r").alias("required_rows"),
+        F.sum("d").alias("distinct_rows"), F.sum("f").alias("final_rows"),
     )
     removed = F.col("initial_rows") - F.col("final_rows")
     return totals.select(

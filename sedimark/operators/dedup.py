@@ -3,17 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimark.sources.sinks import materialized
-
-# Key hashes that may be broadcast: 8 bytes each, so the side stays near 50 MB with its hash table.
-BROADCAST_KEYS = 2_000_000
-
 _RANK = "__rank"
 _HASH = "__key_hash"
 
@@ -44,47 +38,16 @@ def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return df.withColumn(_RANK, F.row_number().over(ranked)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
-@dataclass(frozen=True)
-class Deduplicated:
-    """One row per key, with the number of rows before and after."""
-
-    rows: DataFrame
-    before: int
-    after: int
-
-
-def keep_first_sparse(
-    df: DataFrame, key: str, order: Sequence[str], broadcast_keys: int = BROADCAST_KEYS
-) -> DataFrame:
-    """Same rows as `keep_first`, for wide input in which few keys repeat. Runs jobs."""
-    return deduplicate(df, key, order, broadcast_keys).rows
-
-
-def deduplicate(
-    df: DataFrame, key: str, order: Sequence[str], broadcast_keys: int = BROADCAST_KEYS
-) -> Deduplicated:
-    """`keep_first` for wide input in which few keys repeat, with exact counts. Runs jobs.
+def keep_first_sparse(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Same rows as `keep_first`, for wide input in which few keys repeat: an explicit choice of the caller.
 
-    A pass over the key column alone finds the hashes that occur more than once. Rows of all other
-    keys are unique and stay where they are; only rows with a repeated hash are shuffled and ranked.
-    A hash collision merely sends a unique row through the ranking. When too many keys repeat to
-    broadcast their hashes, everything is ranked instead.
+    A pass over the key column alone finds the hashes that occur more than once. Rows of all other keys are
+    unique and are not ranked; only rows with a repeated hash are. A hash collision merely sends a unique row
+    through the ranking. Whether the repeated hashes are broadcast is left to Spark, which knows their size
+    when it joins.
     """
     hashed = df.withColumn(_HASH, F.xxhash64(key))
-    counted = hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n"))
-    # Taken after the exchange, in the tasks that write, where a retried task is counted once.
-    seen = Observation()
-    counted = counted.observe(
-        seen, F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("hashes")
-    )
-    repeated, found = materialized(counted.where("n > 1").select(_HASH), "repeated-keys")
-    before, hashes = seen.get["rows"], seen.get["hashes"]
-    if found == 0:
-        return Deduplicated(df, before, hashes)
-    if found > broadcast_keys:
-        return Deduplicated(keep_first(df, key, order), before, df.select(key).distinct().count())
-    small = F.broadcast(repeated)
-    unique = hashed.join(small, _HASH, "left_anti").drop(_HASH)
-    copies = hashed.join(small, _HASH, "left_semi").drop(_HASH)
-    after = hashes - found + copies.select(key).distinct().count()
-    return Deduplicated(unique.unionByName(keep_first(copies, key, order)), before, after)
+    repeated = hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(_HASH)
+    unique = hashed.join(repeated, _HASH, "left_anti").drop(_HASH)
+    copies = hashed.join(repeated, _HASH, "left_semi").drop(_HASH)
+    return unique.unionByName(keep_first(copies, key, order))

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimark.operators.dedup import settle_ties
 from sedimark.operators.summaries import ordering
+from sedimark.session import intermediates
 from sedimark.sources.sinks import materialized
 
 # Pages that end within this many rows are cut with a top-k; later ones by counting sorted ranges.
@@ -24,15 +26,20 @@ def check_page(page: int, size: int, max_size: int | None = None) -> None:
 def page_of(
     df: DataFrame, order: Sequence[str], page: int, size: int, max_size: int | None = None, top_rows: int = TOP_ROWS
 ) -> DataFrame:
-    """Rows of one page; empty past the end. `order` must be total for stable pages.
+    """Rows of one page; empty past the end.
 
-    A page deep in a large result (beyond `top_rows`) runs jobs: see `_far_page`.
+    All other sortable columns settle ties of `order`, near the start and far from it alike, so the pages
+    together hold every row once. A page deep in a large result (beyond `top_rows`) runs jobs: see `_far_page`.
     """
     check_page(page, size, max_size)
     start = (page - 1) * size
+    named = [term.partition(" ")[0] for term in order]
+    total = [*order, *settle_ties(df.drop(*named), "")]
     if start + size <= top_rows:
-        return df.orderBy(*ordering(order)).offset(start).limit(size)
-    return _far_page(df, order, start, size)
+        return df.orderBy(*ordering(total)).offset(start).limit(size)
+    with intermediates(df.sparkSession):
+        found = _far_page(df, total, start, size).collect()  # one page
+    return df.sparkSession.createDataFrame(found, df.schema)
 
 
 def _far_page(df: DataFrame, order: Sequence[str], start: int, size: int) -> DataFrame:

@@ -414,12 +414,12 @@ class Learned:
 @cache
 def _learned(spark: SparkSession, folder: str) -> Learned:
     """Both models of a folder, fitted once per session and shared by the queries below."""
-    settings = jobs.Settings(Layout(fresh_path(spark, "learning")), profile=PROFILE)
-    prepared = jobs.training_rows(incidents_silver(spark, folder), settings).persist()
-    run = severity.train_severity(prepared)
+    prepared = jobs.learning_rows(incidents_silver(spark, folder), PROFILE).persist()
+    with severity.training_sample(prepared, PROFILE.key, severity.SAMPLE_ROWS) as sample:
+        run = severity.train_severity(sample)
     if run is None:
         raise RuntimeError("too few incidents to train on")
-    return Learned(prepared, run, zones.fit_zones(prepared))
+    return Learned(prepared, run, zones.fit_zones(zones.zone_columns(prepared)))
 
 
 @query()
@@ -512,7 +512,7 @@ def run_summary(spark: SparkSession, folder: str) -> DataFrame:
         learned["risk_zones"],
         learned["hotspots"],
         sum(done["marts"].values()),
-        sum(rows for rows, _ in exported.values()),
+        sum(rows or 0 for rows, _ in exported.values()),
     )
     return spark.createDataFrame(
         [row],

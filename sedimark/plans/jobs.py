@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
@@ -13,23 +14,20 @@ from pyspark.sql import types as T
 from sedimark.functions import tidy_name, tidy_names
 from sedimark.learning import features, severity, zones
 from sedimark.operators import snapshots
-from sedimark.operators.cleaning import clean
-from sedimark.operators.dedup import Deduplicated, deduplicate
-from sedimark.operators.sampling import bounded_sample
+from sedimark.operators.cleaning import clean, quality_report
 from sedimark.plans import marts
-from sedimark.plans.serving import MARTS
+from sedimark.plans.serving import MARTS, mart_path
 from sedimark.profile import INCIDENTS, RecordProfile
+from sedimark.session import delete_path, intermediates, list_folders
 from sedimark.sources import catalog, files, sinks
 from sedimark.sources.layout import Layout
 
 log = logging.getLogger(__name__)
 
-# Simulated batch days with their shares, training sample, files per mart.
+# Simulated batch days with their shares, files per mart.
 DAYS = {"2025-01-01": 0.33, "2025-01-02": 0.33, "2025-01-03": 0.34}
-SAMPLE_ROWS = 150_000
 MART_FILES = 2
 SILVER_TABLE = "incidents_db.silver"
-TRAINING_ROWS_PER_PARTITION = 20_000
 
 # Marts with a row per scored record; all others have a top-k or a small key domain.
 UNBOUNDED_MARTS = ("ml_severity_predictions",)
@@ -37,19 +35,28 @@ UNBOUNDED_MARTS = ("ml_severity_predictions",)
 
 @dataclass(frozen=True)
 class Settings:
+    """Where the jobs read and write.
+
+    `sample_rows` is the number of labelled rows used to fit the severity classifier (None: all); nothing else
+    is sampled. `even_files` shuffles each ingested day into files of even size, instead of one file per
+    input split and day. `ml_fallback` is a second root for the learned marts, used when writing one fails.
+    """
+
     layout: Layout
     source: str | None = None
     schema: T.StructType | None = None
     days: Mapping[str, float] | None = None
     profile: RecordProfile = INCIDENTS
     table: str = SILVER_TABLE
-    sample_rows: int | None = SAMPLE_ROWS
+    sample_rows: int | None = severity.SAMPLE_ROWS
     jdbc: Mapping[str, str] | None = None
     csv_fallback: bool = True
+    even_files: bool = True
+    ml_fallback: str | None = None
 
 
 def ingest(spark: SparkSession, settings: Settings) -> None:
-    """Source CSV to dated Bronze partitions, in one pass and without a shuffle.
+    """Source CSV to dated Bronze partitions, in one pass.
 
     Lines that do not parse stay in Bronze with their text, see `files.split_corrupt`.
     """
@@ -57,67 +64,67 @@ def ingest(spark: SparkSession, settings: Settings) -> None:
     lines = files.read_csv(spark, settings.source, schema)
     key = next(c for c in lines.columns if tidy_name(c) == settings.profile.key)
     dated = snapshots.spread_over_days(lines, settings.days or DAYS, [key])
-    snapshots.write_batches(tidy_names(dated), settings.layout.bronze)
+    snapshots.write_batches(tidy_names(dated), settings.layout.bronze, rebalance=settings.even_files)
 
 
 def refine(spark: SparkSession, settings: Settings, as_of: str | None = None) -> dict[str, Any]:
-    """Bronze snapshot to the cleaned Silver table; returns the quality report.
+    """Bronze snapshot to the cleaned Silver table; returns the quality report and the number of corrupt lines.
 
-    The figures are those of `quality_report`, but come out of the work itself: the file footers, the
-    pass that finds repeated keys and the write.
+    Silver is written to a new folder, then the table is switched to it and older folders are removed, so a
+    failed write leaves the table as it was.
     """
     layout = settings.layout
-    bronze, _ = files.split_corrupt(snapshots.snapshot(files.read_parquet(spark, layout.bronze), as_of))
-    passed: list[Deduplicated] = []
-
-    def dedup(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-        passed.append(deduplicate(rows, key, order))
-        return passed[0].rows
-
-    silver = clean(bronze, settings.profile, dedup=dedup)
-    final = sinks.write_parquet(silver, layout.silver)
-    catalog.create_database(spark, settings.table.split(".")[0])
-    catalog.register_external(spark, settings.table, layout.silver, silver.schema)
-    initial = bronze.count()
-    return {
-        "initial_rows": initial,
-        "required_rows": passed[0].before,
-        "distinct_rows": passed[0].after,
-        "final_rows": final,
-        "duplicate_rows": passed[0].before - passed[0].after,
-        "removed_rows": initial - final,
-        "removed_percent": 100.0 * (initial - final) / initial if initial else 0.0,
-    }
-
-
-def training_rows(silver: DataFrame, settings: Settings) -> DataFrame:
-    """The prepared training frame: available columns, exact-size sample, fixed layout."""
-    profile = settings.profile
-    chosen = catalog.select_available(silver, profile.learning_columns, profile.learning_required)
-    if settings.sample_rows is not None:
-        chosen = bounded_sample(chosen, settings.sample_rows, [profile.key])
-        # Few partitions: each one holds and ships the statistics of a whole tree level.
-        chosen = features.spread(chosen, profile.key, -(-settings.sample_rows // TRAINING_ROWS_PER_PARTITION))
-    return features.prepare(chosen, profile)
+    bronze, corrupt = files.split_corrupt(snapshots.snapshot(files.read_parquet(spark, layout.bronze), as_of))
+    silver = clean(bronze, settings.profile)
+    path = layout.silver_version(uuid.uuid4().hex)
+    sinks.write_parquet(silver, path)
+    database, dot, _ = settings.table.rpartition(".")
+    if dot:
+        catalog.create_database(spark, database)
+    catalog.register_external(spark, settings.table, path, silver.schema)
+    for older in list_folders(spark, layout.silver):
+        if older.rsplit("/", 1)[-1] != path.rsplit("/", 1)[-1]:
+            delete_path(spark, older)
+    report = quality_report(bronze, settings.profile).first().asDict()
+    return {**report, "corrupt_lines": corrupt.count()}
+
+
+def learning_rows(silver: DataFrame, profile: RecordProfile) -> DataFrame:
+    """The available columns of every cleaned record, prepared for learning."""
+    return features.prepare(catalog.select_available(silver, profile.learning_columns, profile.learning_required), profile)
 
 
 def learn(spark: SparkSession, settings: Settings) -> dict[str, Any]:
-    """Train both models, write their marts and the hotspots; returns the run summary."""
-    layout = settings.layout
-    with sinks.kept(training_rows(catalog.read_table(spark, settings.table), settings)) as prepared:
-        summary: dict[str, Any] = {"samples": prepared.count()}
-        classes = marts.CLASS_DISTRIBUTION.of(prepared).collect()
-        summary["class_distribution"] = {row["severity"]: row["count"] for row in classes}
-        run = severity.train_severity(prepared, (settings.profile.key,))
-        if run is not None:
-            sinks.write_parquet(run.predictions, layout.gold("ml_severity_predictions"), even=True)
-            severity.save_model(run.model, layout.model("severity"))
-            summary["severity_accuracy"] = run.accuracy
-        zone_model = zones.fit_zones(prepared)
-        profile = zones.zone_profile(zones.assign_zones(zone_model, prepared))
-        summary["risk_zones"] = sinks.write_parquet(profile, layout.gold("ml_risk_zones"), files=MART_FILES)
-        spots = marts.grid_hotspots().of(prepared)
-        summary["hotspots"] = sinks.write_parquet(spots, layout.gold("ml_hotspots"), files=MART_FILES)
+    """Train both models, write their marts and the hotspots; returns the run summary.
+
+    Classes, zones and hotspots are those of all of Silver; only the classifier is fitted on a bounded
+    sample. A table without the key or with few columns gives zones and hotspots, but no severity model.
+    """
+
+    def write(df: DataFrame, mart: str, **options: Any) -> int:
+        def to(layout: Layout) -> int:
+            return sinks.write_parquet(df, layout.gold(mart), **options)
+
+        spare = settings.ml_fallback and Layout(settings.ml_fallback)
+        return sinks.write_or_divert(lambda: to(settings.layout), (lambda: to(spare)) if spare else None, f"writing {mart}")[0]
+
+    layout, profile = settings.layout, settings.profile
+    prepared = learning_rows(catalog.read_table(spark, settings.table), profile)
+    with intermediates(spark):
+        classes = {row["severity"]: row["count"] for row in marts.CLASS_DISTRIBUTION.of(prepared).collect()}
+        summary: dict[str, Any] = {"samples": 0, "class_distribution": classes}
+        with severity.training_sample(prepared, profile.key, settings.sample_rows) as sample:
+            run = severity.train_severity(sample, (profile.key,)) if sample is not None else None
+            if run is not None:
+                summary["samples"] = sample.count()
+                write(run.predictions, "ml_severity_predictions", even=True)
+                severity.save_model(run.model, layout.model("severity"))
+                summary["severity_accuracy"] = run.accuracy
+        # Only what K-means and the profile of its zones read.
+        with sinks.kept(zones.zone_columns(prepared)) as placed:
+            profiled = zones.zone_profile(zones.assign_zones(zones.fit_zones(placed), placed))
+            summary["risk_zones"] = write(profiled, "ml_risk_zones", files=MART_FILES)
+        summary["hotspots"] = write(marts.grid_hotspots().of(prepared), "ml_hotspots", files=MART_FILES)
     return summary
 
 
@@ -138,14 +145,19 @@ def build_marts(spark: SparkSession, settings: Settings) -> dict[str, int]:
     return written
 
 
-def export(spark: SparkSession, settings: Settings) -> dict[str, tuple[int, bool]]:
+def export(spark: SparkSession, settings: Settings) -> dict[str, tuple[int | None, bool]]:
     """Every mart to the JDBC target, or to CSV where none is given or it fails.
 
-    Returns rows and whether CSV took the place of JDBC, per mart.
+    Returns rows and whether CSV took the place of JDBC, per mart; rows is None for a mart that was not built.
     """
-    sent = {}
+    sent: dict[str, tuple[int | None, bool]] = {}
     for mart in MARTS:
-        rows = files.read_parquet(spark, settings.layout.gold(mart))
+        place = mart_path(spark, settings.layout, mart, settings.ml_fallback)
+        if place is None:
+            log.warning("%s was not built and is not exported", mart)
+            sent[mart] = (None, False)
+            continue
+        rows = files.read_parquet(spark, place)
 
         def to_csv(rows: DataFrame = rows, mart: str = mart) -> int:
             bounded = mart not in UNBOUNDED_MARTS

@@ -62,9 +62,13 @@ def grid_hotspots(digits: int = GRID_DIGITS, min_rows: int = GRID_MIN_ROWS, top:
     """Map cells (coordinates rounded half up) by total severity."""
     return Summary(
         keys={"lat_grid": f"round(start_lat, {int(digits)})", "lng_grid": f"round(start_lng, {int(digits)})"},
-        measures={"total_accidents": "count(*)", "avg_severity": "avg(severity)"},
+        measures={
+            "total_accidents": "count(*)",
+            "avg_severity": "avg(severity)",
+            # The sum itself: count times average differs from it in the last digits, which would break ties.
+            "hotspot_score": "cast(sum(severity) AS double)",
+        },
         having=f"total_accidents >= {int(min_rows)}",
-        derived={"hotspot_score": "total_accidents * avg_severity"},
         order=("hotspot_score DESC", "lat_grid", "lng_grid"),
         top=top,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -9,10 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimark.operators.paging import page_of, page_totals
+from sedimark.session import path_exists
 from sedimark.sources.files import read_parquet
 from sedimark.sources.layout import Layout
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class Served:
     """How one mart is read: its columns, a total order, page sizes and the filters it accepts."""
@@ -95,10 +100,20 @@ SERVED = {
 MARTS = tuple(s.mart for s in SERVED.values())
 
 
-def open_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """Every mart by name, also registered as a temporary view for SQL."""
+def mart_path(spark: SparkSession, layout: Layout, mart: str, fallback: str | None = None) -> str | None:
+    """Where the mart is, under the layout or else under the fallback root; None when it was not built."""
+    places = [layout.gold(mart), *([Layout(fallback).gold(mart)] if fallback else [])]
+    return next((p for p in places if path_exists(spark, p)), None)
+
+
+def open_marts(spark: SparkSession, layout: Layout, fallback: str | None = None) -> dict[str, DataFrame]:
+    """Every mart that was built, by name, also registered as a temporary view for SQL."""
     opened = {}
     for mart in MARTS:
-        opened[mart] = read_parquet(spark, layout.gold(mart))
+        place = mart_path(spark, layout, mart, fallback)
+        if place is None:
+            log.warning("%s was not built", mart)
+            continue
+        opened[mart] = read_parquet(spark, place)
         opened[mart].createOrReplaceTempView(mart)
     return opened

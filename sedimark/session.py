@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +52,46 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_OPEN: ContextVar[list[str] | None] = ContextVar("sedimark_intermediates", default=None)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/sedimark/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses; see `intermediates` for its removal."""
+    path = f"{shared_folder(spark).rstrip('/')}/sedimark/{label}-{uuid.uuid4().hex}"
+    made = _OPEN.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.listStatus(where) if system.exists(where) else []
+    return [entry.getPath().toString() for entry in found if entry.isDirectory()]
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Own the intermediate tables made inside: they are removed at the end, also after a failure.
+
+    Frames that read them must be done by then, so results are written or gathered inside.
+    """
+    made: list[str] = []
+    token = _OPEN.set(made)
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in made:
+            delete_path(spark, path)

@@ -20,13 +20,14 @@ def raw_schema(columns: tuple[str, ...] = RAW_COLUMNS) -> T.StructType:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header. A schema avoids the extra pass that inference needs; without one it is inferred.
 
     With a schema, text that does not parse becomes null and the whole line is kept in
-    `_corrupt_record`; see `split_corrupt`.
+    `_corrupt_record`; see `split_corrupt`. `multi_line` reads values that contain line breaks; a file is then
+    read by one task.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
@@ -41,8 +42,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(all rows without the corrupt-line column, the unreadable lines).
 
-    The second needs a stored or persisted frame: Spark cannot tell bad lines from a pruned CSV scan.
+    The second needs a stored or persisted frame: Spark cannot tell bad lines from a pruned CSV scan. It is empty
+    for a frame that was read without keeping such lines.
     """
+    if CORRUPT not in df.columns:
+        return df, df.select(F.lit(None).cast("string").alias(CORRUPT)).limit(0)
     return df.drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 

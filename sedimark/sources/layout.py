@@ -20,6 +20,10 @@ class Layout:
     def silver(self) -> str:
         return self._under("silver")
 
+    def silver_version(self, version: str) -> str:
+        """One written state of Silver; the table says which one holds."""
+        return self._under("silver", f"version-{version}")
+
     def gold(self, mart: str) -> str:
         return self._under("gold", mart)
 

@@ -63,7 +63,8 @@ def write_csv(
 ) -> int:
     """Rows written; see `write_parquet`.
 
-    Reading with the same schema gives the rows back, but for empty text, which reads as null.
+    Reading with the same schema gives the rows back, but for empty text, which reads as null; text with line
+    breaks needs a reader with `multi_line`.
     """
     return _counted(_arranged(df, files, even), lambda w: w.mode(mode).options(**CSV_EXACT).csv(path))
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from sedimark.functions import tidy_names
 from sedimark.operators.snapshots import BATCH, tag_batch
+from sedimark.sources.files import CORRUPT
 
 
 def ingest_arrivals(
@@ -16,9 +17,12 @@ def ingest_arrivals(
 
     Returns the number of rows. `progress` is the checkpoint folder that remembers ingested files; with
     the file sink's own log it makes every file count once, also when a run is interrupted and started
-    again. A Bronze folder filled this way is written by this function only.
+    again. A Bronze folder filled this way is written by this function only. Lines that do not parse are kept
+    with their text, as in the batch job, so the next job reads either kind of Bronze.
     """
-    lines = spark.readStream.schema(schema).option("header", True).csv(landing)
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.readStream.schema(kept).option("header", True)
+    lines = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(landing)
     arrivals = (
         tag_batch(tidy_names(lines), day)
         .writeStream.format("parquet")
@@ -29,5 +33,10 @@ def ingest_arrivals(
         .trigger(availableNow=True)
         .start()
     )
-    arrivals.awaitTermination()
-    return sum(step["numInputRows"] for step in arrivals.recentProgress)
+    # Spark keeps the last 100 progress reports only, so they are gathered while the query runs.
+    rows: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = bool(arrivals.awaitTermination(1))
+        rows.update({step["batchId"]: step["numInputRows"] for step in arrivals.recentProgress})
+    return sum(rows.values())

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimark.operators.cleaning import clean, quality_report
-from sedimark.operators.dedup import deduplicate, keep_first, keep_first_sparse
+from sedimark.operators.dedup import keep_first, keep_first_sparse
 from sedimark.operators.filling import fill_defaults, fill_from_column
 from sedimark.operators.validity import require, within
 from sedimark.profile import INCIDENTS, RAW_COLUMNS
@@ -146,29 +146,33 @@ def copies(spark, rows=3000):
     )
 
 
-@pytest.mark.parametrize("limit", [2_000_000, 1])
-def test_sparse_dedup_equals_ranking(spark, limit):
+def test_sparse_dedup_equals_ranking(spark):
     rows = copies(spark)
     ranked = keep_first(rows, "k", ["v", "id"])
-    counted = deduplicate(rows, "k", ["v", "id"], broadcast_keys=limit)
-    sparse = counted.rows
+    sparse = keep_first_sparse(rows, "k", ["v", "id"])
     best = {}
     for r in sorted(rows.collect(), key=lambda r: (r["k"], r["v"], r["id"])):
         best.setdefault(r["k"], tuple(r))
     assert sorted(map(tuple, ranked.collect())) == sorted(best.values())
     assert sorted(map(tuple, sparse.collect())) == sorted(best.values())
-    assert (counted.before, counted.after) == (3000, len(best))
 
 
-def test_sparse_dedup_leaves_unique_rows_in_place(spark, plan):
-    rows = spark.range(100).withColumn("v", F.lit(1))
-    assert "Exchange" not in plan(keep_first_sparse(rows, "id", ["v"]))
+def test_sparse_dedup_ranks_copies_only(spark, plan):
+    text = plan(keep_first_sparse(copies(spark), "k", ["v", "id"]))
+    assert "LeftAnti" in text and "LeftSemi" in text
+    assert text.index("LeftSemi") > text.index("WindowGroupLimit")
 
 
-def test_sparse_dedup_shuffles_copies_only(spark, plan):
-    text = plan(keep_first_sparse(copies(spark), "k", ["v", "id"]))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "LeftAnti" in text and "LeftSemi" in text and "SortMergeJoin" not in text
+def test_quality_report_does_not_sort_to_aggregate(spark, small, plan):
+    assert "SortAggregate" not in plan(quality_report(incidents_bronze(spark, small), PROFILE))
+
+
+def test_text_that_is_no_number_costs_its_row_only(spark):
+    rows = record(spark, {"id": "1"}, {"id": "2"}, {"id": "3"})
+    text = rows.withColumn("severity", F.when(F.col("id") == "2", "n/a").otherwise(F.col("severity").cast("string")))
+    assert sorted(r["id"] for r in clean(text, PROFILE).collect()) == ["1", "3"]
+    report = quality_report(text, PROFILE).first()
+    assert (report["initial_rows"], report["distinct_rows"], report["final_rows"]) == (3, 3, 2)
 
 
 def test_ranking_limits_groups_before_the_shuffle(spark, plan):

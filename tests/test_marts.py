@@ -112,3 +112,11 @@ def test_summary_filters_before_and_after(spark):
     rows = spark.range(10).withColumn("k", F.col("id") % 3)
     made = Summary(keys={"k": "k"}, measures={"n": "count(*)"}, where="id > 0", having="n > 2", order=("k DESC",))
     assert [tuple(r) for r in made.of(rows).collect()] == [(2, 3), (1, 3), (0, 3)]
+
+
+def test_equal_scores_are_settled_by_place(spark):
+    """11 records with sum 15 and 5 with sum 15: count times average would differ in the last digit."""
+    severities = [2] * 4 + [1] * 7
+    rows = [(30.0, -100.0, s) for s in severities] + [(29.0, -100.0, 3)] * 5
+    spots = marts.grid_hotspots(top=1).of(spark.createDataFrame(rows, "start_lat double, start_lng double, severity int"))
+    assert [tuple(r) for r in spots.select("lat_grid", "hotspot_score").collect()] == [(29.0, 15.0)]

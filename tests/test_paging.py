@@ -29,6 +29,13 @@ def test_far_pages_of_one_value(spark):
     assert len(seen) == 1000 and len(set(seen)) == 1000
 
 
+@pytest.mark.parametrize("top_rows", [10**6, 0, 2000])
+def test_pages_of_an_order_that_is_not_total_hold_every_row_once(spark, top_rows):
+    rows = spark.range(4000).select((F.col("id") % 5).alias("v"), "id").repartition(7)
+    seen = [r["id"] for page in range(1, 9) for r in page_of(rows, ["v"], page, 500, top_rows=top_rows).collect()]
+    assert sorted(seen) == list(range(4000))
+
+
 def test_pages_with_null_order_values(spark):
     rows = spark.createDataFrame([(None,), (2,), (1,), (None,)], "v int")
     down = [r[0] for r in page_of(rows, ["v DESC"], 1, 4).collect()]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimark.session import fresh_path, shared_folder
+from sedimark.functions import safe_cast
 from sedimark.sources import catalog, files, sinks
 from sedimark.sources.layout import Layout
 from sedimark.streaming.landing import ingest_arrivals
@@ -166,3 +167,16 @@ def test_arrivals_are_ingested_once(spark, tmp_path):
     stored = files.read_parquet(spark, bronze)
     found = sorted((r["id"], r["temp_f"], str(r["situation_date"])) for r in stored.collect())
     assert found == [(1, 1.5, "2025-01-01"), (2, None, "2025-01-01"), (3, 2.5, "2025-01-02")]
+
+
+def test_csv_with_line_breaks(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "one\ntwo"), (2, "plain")], "id int, t string")
+    sinks.write_csv(rows, str(tmp_path / "csv"))
+    back, _ = files.split_corrupt(files.read_csv(spark, str(tmp_path / "csv"), rows.schema, multi_line=True))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_long_numbers_keep_their_digits(spark):
+    rows = spark.createDataFrame([("9007199254740993",), ("5.0",), ("x",)], "n string")
+    got = rows.select(safe_cast("n", T.StringType(), "bigint").alias("n")).collect()
+    assert [r[0] for r in got] == [9007199254740993, 5, None]
