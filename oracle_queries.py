@@ -117,6 +117,10 @@ SELECT id, severity, start_lat, start_lng, distance_mi, temperature_f, humidity,
   CAST(dayofweek(start_time) + 1 AS INTEGER) AS day_of_week
 FROM incidents_silver"""
 
+# The rows the classifier is fitted and tested on, and those of its test part.
+SAMPLED = f"(SELECT * FROM incidents_silver ORDER BY {_digest('sample')}, id LIMIT 150000)"
+TESTED = f"(SELECT * FROM {SAMPLED} WHERE {_digest('split')} >= '{_bound(0.8)}')"
+
 BODIES = {
     "csv_scan_typed": "SELECT * FROM incidents_bronze",
     "clean_column_names": "SELECT id, copy_no, temperature_f, humidity, wind_speed_mph, start_lat FROM incidents_bronze",
@@ -207,6 +211,43 @@ BODIES = {
     "pipeline_silver": f"""SELECT {SILVER_COLUMNS.replace('situation_date', DAY_BY_DIGEST + ' AS situation_date')}
         FROM incidents_silver""",
     "pipeline_state_stats": "SELECT * FROM state_stats",
+    "job_hotspots": "SELECT * FROM ml_hotspots",
+    "confusion_totals": f"SELECT severity, count(*) AS test_rows FROM {TESTED} GROUP BY severity",
+    "severity_test_figures": f"""SELECT CAST(sum(n) AS BIGINT) AS test_rows, round(max(n) / sum(n), 6) AS majority_share,
+        true AS bounded FROM (SELECT count(*) AS n FROM {TESTED} GROUP BY severity)""",
+    "prediction_rows": f"""SELECT severity, start_lat, start_lng, 'severity_prediction' AS model_type, true AS known
+        FROM {TESTED}""",
+    "importance_total": "SELECT CAST(13 AS BIGINT) AS inputs, 1.0E0 AS total",
+    "zone_totals": """SELECT CAST(5 AS BIGINT) AS zones, count(*) AS accidents,
+        round(CAST(sum(severity) AS DOUBLE), 3) AS severity, true AS inside FROM incidents_silver""",
+    "score_all_rows": "SELECT id, severity, true AS known FROM incidents_silver",
+    "page_risk_zones_shape": "SELECT CAST(3 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS strangers",
+    "page_predictions_shape": f"""SELECT count(*) AS rows, min(severity) AS least
+        FROM (SELECT severity FROM {TESTED} ORDER BY severity LIMIT 10 OFFSET 10)""",
+    "run_figures": f"""SELECT s AS silver_rows, n AS samples, CAST(5 AS BIGINT) AS risk_zones, h AS hotspots,
+          m AS mart_rows, m + t + 5 + h AS exported_rows
+        FROM (SELECT (SELECT count(*) FROM incidents_silver) AS s, (SELECT count(*) FROM {SAMPLED}) AS n,
+          (SELECT count(*) FROM ml_hotspots) AS h, (SELECT count(*) FROM {TESTED}) AS t,
+          (SELECT count(*) FROM state_stats) + (SELECT count(*) FROM time_patterns)
+            + (SELECT count(*) FROM weather_analysis) + (SELECT count(*) FROM city_hotspots) AS m)""",
+    "job_marts": " UNION ALL ".join(
+        f"SELECT '{m}' AS mart, count(*) AS rows, CAST(sum(total_accidents) AS BIGINT) AS accidents FROM {m}"
+        for m in ("state_stats", "time_patterns", "weather_analysis", "city_hotspots")
+    ),
+    "landing_to_silver": f"""SELECT {SILVER_COLUMNS.replace('situation_date', "DATE '2025-01-01' AS situation_date")}
+        FROM incidents_silver""",
+    "clean_text_rows": "SELECT * FROM incidents_silver WHERE id % 10 <> 0",
+    "cast_long_numbers": "SELECT id, copy_no, 9007199254740993 + id AS large FROM incidents_bronze",
+    "csv_line_breaks": """SELECT id, copy_no, nullif(concat_ws(chr(10), state, city, weather_condition), '') AS lines
+        FROM incidents_bronze""",
+    "risk_level_by_distance": f"""SELECT CAST(floor(distance_mi / 20) AS BIGINT) AS band,
+        round(avg(severity), 6) AS avg_severity, {RISK.format('avg(severity)')} AS risk_level
+        FROM incidents_silver GROUP BY 1""",
+    "weather_category_words": """SELECT id, ['SNOW', 'ICE', 'RAIN', 'FOG', 'CLEAR'][id % 5 + 1] AS weather_condition,
+        ['HIGH', 'HIGH', 'MEDIUM', 'MEDIUM', 'LOW'][id % 5 + 1] AS weather_severity FROM incidents_silver""",
+    "snapshot_redelivered": """SELECT situation_date, count(*) AS rows, count(DISTINCT id) AS ids,
+          count(*) FILTER (situation_date = DATE '2025-01-02') AS changed
+        FROM incidents_bronze WHERE situation_date <> DATE '2025-01-02' OR id % 3 = 0 GROUP BY situation_date""",
 }
 
 

@@ -2,7 +2,8 @@
 
 The file is made from the driver's `events`, `customer` and `nation` tables: every incident is repeated
 with new keys and shifted times and places until the wanted number of rows is reached, in the 46 columns
-of the source layout. Prints the seconds of each job as one JSON line.
+of the source layout. Prints the seconds of each job as one JSON line, and writes them with the settings and the
+jobs' reports to a file in the work folder.
 
     python scale_check.py WORK_FOLDER [ROWS]
 """
@@ -102,7 +103,10 @@ def main() -> None:
         said[name] = getattr(jobs, name)(spark, settings)
         seconds[name] = round(time.perf_counter() - start, 1)
         print(name, seconds[name], said[name], file=sys.stderr)
-    print(json.dumps({"rows": rows, "cpus": int(CPUS), "seconds": seconds, "total": round(sum(seconds.values()), 1)}))
+    result = {"rows": rows, "cpus": int(CPUS), "seconds": seconds, "total": round(sum(seconds.values()), 1), "conf": conf, "said": said}
+    with open(f"{work}/scale-{int(time.time())}.json", "w") as out:
+        json.dump(result, out, default=str)
+    print(json.dumps({k: v for k, v in result.items() if k != "said"}))
     spark.stop()
 
 

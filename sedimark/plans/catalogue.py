@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 
 from pyspark.ml import PipelineModel
@@ -19,18 +19,19 @@ from sedimark.functions import (
 )
 from sedimark.learning import features, severity, zones
 from sedimark.operators import snapshots
-from sedimark.operators.cleaning import cast_columns, quality_report
+from sedimark.operators.cleaning import cast_columns, clean, quality_report
 from sedimark.operators.dedup import keep_first, keep_first_sparse
 from sedimark.operators.filling import fill_defaults, fill_from_column
 from sedimark.operators.paging import page_of
 from sedimark.operators.sampling import bounded_sample, train_test
 from sedimark.operators.validity import require, within
 from sedimark.plans import jobs, marts
-from sedimark.plans.serving import SERVED
+from sedimark.plans.serving import SERVED, open_marts
 from sedimark.session import fresh_path
 from sedimark.sources import catalog, files, sinks
 from sedimark.sources.fixtures import PROFILE, incidents_bronze, incidents_silver
 from sedimark.sources.layout import Layout
+from sedimark.streaming.landing import ingest_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -519,3 +520,166 @@ def run_summary(spark: SparkSession, folder: str) -> DataFrame:
         "silver_rows bigint, samples bigint, severity_accuracy double, risk_zones bigint, hotspots bigint, "
         "mart_rows bigint, exported_rows bigint",
     )
+
+
+# --- exact figures of the learned results and further branches -----------------------------------------
+
+
+@query()
+def job_hotspots(spark: SparkSession, folder: str) -> DataFrame:
+    """Hotspots that the learning job wrote, while its classifier saw 300 rows only."""
+    settings = replace(_settings(spark, folder, "hotspots"), sample_rows=300)
+    jobs.ingest(spark, settings)
+    jobs.refine(spark, settings)
+    jobs.learn(spark, settings)
+    return comparable(files.read_parquet(spark, settings.layout.gold("ml_hotspots")))
+
+
+@query()
+def confusion_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Test rows per label, as the confusion counts have them."""
+    return confusion_matrix(spark, folder).groupBy("severity").agg(F.sum("count").alias("test_rows"))
+
+
+@query()
+def severity_test_figures(spark: SparkSession, folder: str) -> DataFrame:
+    """The metrics that do not depend on the model, and that accuracy and F1 are shares."""
+    bounded = F.col("accuracy").between(0, 1) & F.col("weighted_f1").between(0, 1)
+    return severity_accuracy(spark, folder).select("test_rows", F.round("majority_share", 6).alias("majority_share"), bounded.alias("bounded"))
+
+
+@query()
+def prediction_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Label and place of every predicted row; the prediction is one of the labels."""
+    known = F.col("prediction").isin(1.0, 2.0, 3.0, 4.0) & F.col("training_timestamp").isNotNull()
+    return severity_predictions(spark, folder).select("severity", "start_lat", "start_lng", "model_type", known.alias("known"))
+
+
+@query()
+def importance_total(spark: SparkSession, folder: str) -> DataFrame:
+    every = severity.feature_importance(_learned(spark, folder).severity)
+    return every.agg(F.count(F.lit(1)).alias("inputs"), F.round(F.sum("importance"), 6).alias("total"))
+
+
+@query()
+def zone_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Records and severity over all zones together."""
+    return risk_zones(spark, folder).agg(
+        F.count(F.lit(1)).alias("zones"),
+        F.sum("accident_count").alias("accidents"),
+        F.round(F.sum(F.col("accident_count") * F.col("avg_severity")), 3).alias("severity"),
+        F.bool_and(F.col("center_lat").between(24, 50) & F.col("center_lng").between(-130, -65)).alias("inside"),
+    )
+
+
+@query()
+def score_all_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return score_all(spark, folder).select("id", "severity", F.col("prediction").isin(1.0, 2.0, 3.0, 4.0).alias("known"))
+
+
+@query()
+def page_risk_zones_shape(spark: SparkSession, folder: str) -> DataFrame:
+    """The zone page holds the largest zones, largest first."""
+    zone_rows = risk_zones(spark, folder).orderBy(F.col("accident_count").desc(), "risk_zone").limit(3)
+    page = page_risk_zones(spark, folder).select("risk_zone", "accident_count")
+    return page.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.lit(page.exceptAll(zone_rows.select("risk_zone", "accident_count")).count()).cast("bigint").alias("strangers"),
+    )
+
+
+@query()
+def page_predictions_shape(spark: SparkSession, folder: str) -> DataFrame:
+    """The second page of predictions, ordered by label within one training time."""
+    return page_predictions(spark, folder).agg(F.count(F.lit(1)).alias("rows"), F.min("severity").alias("least"))
+
+
+@query()
+def run_figures(spark: SparkSession, folder: str) -> DataFrame:
+    """The exact figures of the run summary."""
+    return run_summary(spark, folder).drop("severity_accuracy")
+
+
+@query()
+def job_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and incidents of the four marts that the job wrote, read through their views."""
+    settings = _settings(spark, folder, "marts")
+    jobs.ingest(spark, settings)
+    jobs.refine(spark, settings)
+    jobs.build_marts(spark, settings)
+    open_marts(spark, settings.layout)
+    four = ("state_stats", "time_patterns", "weather_analysis", "city_hotspots")
+    counts = [
+        f"SELECT '{m}' AS mart, count(*) AS rows, cast(sum(total_accidents) AS bigint) AS accidents FROM {m}" for m in four
+    ]
+    return spark.sql(" UNION ALL ".join(counts))
+
+
+@query()
+def landing_to_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Files from a landing folder, ingested as a stream, refined."""
+    raw = incidents_bronze(spark, folder).drop(snapshots.BATCH)
+    landing, root = fresh_path(spark, "arrivals"), fresh_path(spark, "arrived")
+    sinks.write_csv(raw, landing)
+    table = "sedimark_jobs." + root.rsplit("/", 1)[-1].replace("-", "_")
+    settings = jobs.Settings(Layout(root), profile=PROFILE, table=table)
+    ingest_arrivals(spark, landing, raw.schema, settings.layout.bronze, f"{root}/progress", "2025-01-01")
+    jobs.refine(spark, settings)
+    return catalog.read_table(spark, settings.table).drop("copy_no")
+
+
+@query()
+def clean_text_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Severity as text, unreadable in every tenth record."""
+    bronze = incidents_bronze(spark, folder)
+    text = F.when(F.col("id") % 10 == 0, "n/a").otherwise(F.col("severity").cast("string"))
+    return clean(bronze.withColumn("severity", text), PROFILE).drop("copy_no")
+
+
+@query()
+def cast_long_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole numbers above 2^53 keep their digits."""
+    large = F.lit(9007199254740993).cast("bigint") + F.col("id")
+    text = incidents_bronze(spark, folder).select("id", "copy_no", large.cast("string").alias("large"))
+    return cast_columns(text, {"large": "bigint"})
+
+
+@query()
+def csv_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Text with line breaks, written as CSV and read back."""
+    broken = F.concat_ws("\n", "state", "city", "weather_condition")
+    rows = incidents_bronze(spark, folder).select("id", "copy_no", broken.alias("lines"))
+    path = fresh_path(spark, "lines")
+    sinks.write_csv(rows, path)
+    back, _ = files.split_corrupt(files.read_csv(spark, path, rows.schema, multi_line=True))
+    return back
+
+
+@query()
+def risk_level_by_distance(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups whose mean severity lies in each of the three levels."""
+    bands = incidents_silver(spark, folder).groupBy(F.floor(F.col("distance_mi") / 20).cast("bigint").alias("band"))
+    rated = bands.agg(F.avg("severity").alias("avg_severity"))
+    return comparable(rated.select("band", "avg_severity", risk_level("avg_severity").alias("risk_level")))
+
+
+@query()
+def weather_category_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Conditions of every category, in the profile's own list."""
+    words = F.array(*[F.lit(w) for w in ("SNOW", "ICE", "RAIN", "FOG", "CLEAR")])
+    silver = incidents_silver(spark, folder)
+    named = silver.select("id", F.element_at(words, (F.col("id") % 5 + 1).cast("int")).alias("weather_condition"))
+    return named.withColumn("weather_severity", condition_category("weather_condition"))
+
+
+@query()
+def snapshot_redelivered(spark: SparkSession, folder: str) -> DataFrame:
+    """A day is delivered again with fewer, changed rows: they take the place of the old ones."""
+    bronze, path = _stored_bronze(spark, folder)
+    again = bronze.where((F.col(snapshots.BATCH) == F.lit("2025-01-02").cast("date")) & (F.col("id") % 3 == 0))
+    snapshots.write_batches(again.withColumn("city", F.lit("AGAIN")), path)
+    stored = files.read_parquet(spark, path).groupBy(snapshots.BATCH)
+    changed = F.coalesce(F.col("city") == "AGAIN", F.lit(False))
+    return stored.agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"), F.count_if(changed).alias("changed")
+    )
