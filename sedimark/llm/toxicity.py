@@ -33,7 +33,7 @@ TRAIN_ROWS, KEPT_WORDS, KEPT_STEMS = 20_000, 50_000, 20_000
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 STEM, DRIFT, CAP = 4, 0.5, 6.0
-PRIOR, CONFIDENCE, SHRINK = 10_000.0, 1.96, 3.0
+PRIOR, CONFIDENCE, SHRINK = 0.005, 1.96, 3.0
 _WORD = re.compile(r"\w+")
 _CACHE = 500_000
 
@@ -102,7 +102,7 @@ class Scorer:
     def evidence(self, text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
         """Combined evidence of the document and its significant segments."""
         scores = self.word_scores(text or "")
-        base = math.log(max(self.model.scale * len(scores), 1e-3))
+        base = math.log1p(self.model.scale * len(scores))
         found = [(a, b, self.model.rate * s - base) for a, b, s in segments(scores)] if (scores > 0).any() else []
         ranked = sorted((s for _, _, s in found), reverse=True)
         best = total = ranked[0] if ranked else -base - 1.0
@@ -130,11 +130,14 @@ def _sketches(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts per word and label; a word counts once per text, so a text that repeats it weighs no more."""
     for batch in batches:
         counts = (Counter(), Counter())
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            words = set()
             for part in stretches(text):
-                counts[1 if label else 0].update(_WORD.findall(part.lower()))
+                words.update(_WORD.findall(part.lower()))
+            counts[1 if label else 0].update(words)
         for label, seen in enumerate(counts):
             if seen:
                 columns = [pa.array(list(seen)), pa.array([label] * len(seen), pa.int32()), pa.array(list(seen.values()))]
@@ -143,9 +146,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _log_odds(counts: DataFrame, n1: float, n0: float) -> DataFrame:
     """`counts` with delta, the log-odds under a Dirichlet prior in proportion to the overall share, and sigma."""
-    share = (F.col("toxic") + F.col("clean")) / (n1 + n0) * PRIOR
+    prior = PRIOR * (n1 + n0)
+    share = (F.col("toxic") + F.col("clean")) * PRIOR
     a, b = F.col("toxic") + share, F.col("clean") + share
-    delta = F.log(a / (n1 + PRIOR - a)) - F.log(b / (n0 + PRIOR - b))
+    delta = F.log(a / (n1 + prior - a)) - F.log(b / (n0 + prior - b))
     return counts.withColumn("delta", delta).withColumn("sigma", F.sqrt(1 / a + 1 / b))
 
 
