@@ -1,8 +1,9 @@
 """Toxic passages by maximum-scoring segments of token log-odds.
 
 Words get the log-odds of toxic against clean text under an informative Dirichlet prior; a word is taken
-with its stem (first letters), so unseen forms of a toxic stem count too. Only words whose log-odds are
-positive with confidence score above zero, every other word costs DRIFT. A linear scan finds all maximal
+with its stems (first letters, fewer than the word has), so unseen forms of a toxic stem count too, the longest
+known stem first. A bare stem is judged by itself, as it may be harmless. Only words that are more
+frequent in toxic text beyond chance score above zero, every other word costs DRIFT. A linear scan finds all maximal
 segments. Scores of the best segment of random text follow an extreme-value law, whose parameters turn
 segment scores into evidence; the evidence of all significant segments of a document adds up, and a
 logistic curve maps it to the probability of the toxic label.
@@ -32,8 +33,8 @@ from sedimark.llm.text import stretches
 TRAIN_ROWS, KEPT_WORDS, KEPT_STEMS = 20_000, 50_000, 20_000
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
-STEM, DRIFT, CAP = 4, 0.5, 6.0
-PRIOR, CONFIDENCE, SHRINK = 0.005, 1.96, 3.0
+STEMS, DRIFT, CAP = (4, 5, 6, 7, 8), 0.5, 6.0
+PRIOR, EVIDENCE, SHRINK = 0.005, 20.0, 3.0
 _WORD = re.compile(r"\w+")
 _CACHE = 500_000
 
@@ -87,7 +88,8 @@ class Scorer:
             model = self.model
             value = model.words.get(word)
             if value is None:
-                value = model.stems.get(word[:STEM], -DRIFT)
+                known = (model.stems.get(word[:n]) for n in reversed(STEMS) if len(word) > n)
+                value = next((v for v in known if v is not None), -DRIFT)
             if len(self.known) >= _CACHE:
                 self.known.clear()
             self.known[word] = value
@@ -145,12 +147,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _log_odds(counts: DataFrame, n1: float, n0: float) -> DataFrame:
-    """`counts` with delta, the log-odds under a Dirichlet prior in proportion to the overall share, and sigma."""
+    """`counts` with delta, the log-odds under a Dirichlet prior in proportion to the overall share, and g.
+
+    g is the likelihood-ratio statistic of the word being more frequent in toxic text, 0 when it is not.
+    """
     prior = PRIOR * (n1 + n0)
     share = (F.col("toxic") + F.col("clean")) * PRIOR
     a, b = F.col("toxic") + share, F.col("clean") + share
     delta = F.log(a / (n1 + prior - a)) - F.log(b / (n0 + prior - b))
-    return counts.withColumn("delta", delta).withColumn("sigma", F.sqrt(1 / a + 1 / b))
+    both = F.col("toxic") + F.col("clean")
+    parts = [
+        F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) * (n1 + n0) / (both * n))).otherwise(0.0)
+        for c, n in (("toxic", n1), ("clean", n0))
+    ]
+    more = F.col("toxic") * n0 > F.col("clean") * n1
+    return counts.withColumn("delta", delta).withColumn("g", F.when(more, 2 * (parts[0] + parts[1])).otherwise(0.0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: int = TRAIN_ROWS) -> Toxicity:
@@ -168,17 +179,19 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: i
     n1, n0 = words.agg(F.sum("toxic"), F.sum("clean")).first()
     if not n1 or not n0:
         return Toxicity({}, {}, 1.0, 0.1, 1.0, -5.0)
-    stem = F.substring("word", 1, STEM)
-    stems = words.groupBy(stem.alias("stem")).agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    stem = F.substring("word", 1, STEMS[0])
+    long_enough = [F.when(F.length("word") > n, F.substring("word", 1, n)) for n in STEMS]
+    cut = words.select(F.explode(F.array_compact(F.array(*long_enough))).alias("stem"), "toxic", "clean")
+    stems = cut.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     stems = stored(_log_odds(stems, n1, n0), "toxicity-stems")
-    sure = F.col("delta") - CONFIDENCE * F.col("sigma")
+    sure = F.col("g") - EVIDENCE
     top_stems = stems.where(sure > 0).orderBy(sure.desc(), "stem").limit(KEPT_STEMS)
     stem_rows = top_stems.select("stem", "delta", "clean").collect()
     judged = _log_odds(words, n1, n0).withColumn("stem", stem)
-    joined = judged.join(stems.select("stem", F.col("delta").alias("stem_delta"), F.col("sigma").alias("stem_sigma")), "stem")
+    joined = judged.join(stems.select("stem", F.col("delta").alias("stem_delta"), F.col("g").alias("stem_g")), "stem", "left")
     seen = F.col("toxic") + F.col("clean")
-    mean = (F.col("delta") * seen + F.col("stem_delta") * SHRINK) / (seen + SHRINK)
-    stem_sure = F.col("stem_delta") - CONFIDENCE * F.col("stem_sigma") > 0
+    mean = (F.col("delta") * seen + F.coalesce("stem_delta", "delta") * SHRINK) / (seen + SHRINK)
+    stem_sure = F.coalesce(F.col("stem_g") > EVIDENCE, F.lit(False))
     # Words that are toxic for sure, and words of a toxic stem, whose own counts may clear them.
     top_words = joined.where((sure > 0) | (stem_sure & (F.col("clean") > 0))).withColumn("mean", mean)
     word_rows = top_words.orderBy(sure.desc(), "word").limit(KEPT_WORDS).select("word", "mean", "clean").collect()

@@ -35,6 +35,7 @@ def test_held_out_rows(spark):
     got = QUERIES["op9_toxicity"](spark, folder)
     truth = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
     held = got.where("held_out").join(truth, "doc_id").toPandas()
+    # A third of the toxic rows use forms that this small training part shows too rarely.
     assert (held.predicted == held.toxic).mean() > 0.9
     assert held[held.toxic == 1].score.mean() > held[held.toxic == 0].score.mean() + 0.3
     assert got.where("held_out <> (crc32(cast(doc_id AS string)) % 3 = 1)").count() == 0
