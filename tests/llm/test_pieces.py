@@ -71,7 +71,7 @@ def brute(v, unit, key, dropout):
 def test_agenda_equals_brute_force(v, unit):
     encoder = pieces.Encoder(v, 0.3)
     for variant in range(4):
-        made = [flat.tolist() for _, flat, _ in encoder._split([(unit, variant)])][0]
+        made = [flat.tolist() for _, flat, _ in encoder._split([unit], np.array([variant]))][0]
         assert made == brute(v, unit, encoder._key(unit, variant), 0.3)
 
 
