@@ -23,11 +23,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
+from sedimark.llm.text import Numbers
+
 DROPOUT, SEED, VARIANTS = 0.1, 42, 4
 MARK = "▁"
 # A unit is what merges cannot cross: a run of spaces with the letters after it, or a control character.
 _UNIT = re.compile(r" +[^ \x00-\x1f▁]*|[^ \x00-\x1f▁]+|[\x00-\x1f▁]")
-_KEPT_UNITS = 250_000
+_KEPT_UNITS = 400_000
 _NONE = np.int64(1) << 40
 # Units longer than this are merged one by one with their own agenda, not padded into a block.
 _LONG = 64
@@ -219,17 +221,28 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[tuple[str, int], int] = {}
+        self.numbers = Numbers()
+        # Where the ids of (unit, variant) are: its place in starts and sizes, -1 when not met yet.
+        self.slots = np.full(0, -1, np.int64)
         self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _keys(self, points: np.ndarray, lengths: np.ndarray, variants: np.ndarray) -> np.ndarray:
+        """A 64-bit key per unit and variant, from the seed and the unit's characters."""
+        starts = np.cumsum(lengths) - lengths
+        column = np.arange(len(points)) - np.repeat(starts, lengths)
+        sums = np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * _keyed(np.full(len(points), self.seed, np.uint64), column, column, column), starts)
+        return _keyed(sums, lengths, variants, lengths)
+
     def _key(self, unit: str, variant: int) -> int:
-        return xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + variant)
+        points = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), np.uint32)
+        return int(self._keys(points, np.array([len(points)]), np.array([variant]))[0])
 
-    def _split(self, units: list[tuple[str, int]]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    def _split(self, units: list[str], variants: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Per block of units: their places in `units`, their ids end to end, and the number of ids of each."""
         v = self.v
-        lengths = np.fromiter((len(u) for u, _ in units), np.int64, len(units))
-        points = np.frombuffer("".join(u for u, _ in units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        every_key = self._keys(points, lengths, variants)
         symbols, starts = v.letters[points], np.cumsum(lengths) - lengths
         order = np.argsort(lengths, kind="stable")
         short = order[: np.searchsorted(lengths[order], _LONG, side="right")]
@@ -240,20 +253,19 @@ class Encoder:
             column = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             block = np.full((len(part), int(n.max())), -1, np.int64)
             block[row, column] = symbols[np.repeat(starts[part], n) + column]
-            places = part.tolist()
-            keys = np.array([self._key(*units[i]) for i in places], np.uint64)
-            left, count = _merge_block(v, block, n, keys, self.dropout)
+            left, count = _merge_block(v, block, n, every_key[part], self.dropout)
             inside = np.arange(left.shape[1]) < count[:, None]
             flat = left[inside]
             if (flat < 0).any():
                 pieces = np.split(flat, np.cumsum(count)[:-1])
-                pieces = [self._with_bytes(units[i][0], p) if (p < 0).any() else p for i, p in zip(places, pieces, strict=True)]
+                for k in np.flatnonzero((inside & (left < 0)).any(axis=1)).tolist():
+                    pieces[k] = self._with_bytes(units[int(part[k])], pieces[k])
                 flat, count = np.concatenate(pieces), np.array([len(p) for p in pieces])
-            yield places, flat, count
+            yield part, flat, count
         for i in order[len(short) :].tolist():
-            ids = _merge_long(v, symbols[starts[i] : starts[i] + lengths[i]].tolist(), self._key(*units[i]), self.dropout)
-            made = self._with_bytes(units[i][0], np.array(ids))
-            yield [i], made, np.array([len(made)])
+            ids = _merge_long(v, symbols[starts[i] : starts[i] + lengths[i]].tolist(), int(every_key[i]), self.dropout)
+            made = self._with_bytes(units[i], np.array(ids))
+            yield np.array([i]), made, np.array([len(made)])
 
     def _with_bytes(self, unit: str, ids: np.ndarray) -> np.ndarray:
         """Unknown characters, each standing alone as -1, replaced by the ids of their bytes."""
@@ -263,38 +275,40 @@ class Encoder:
             made.extend([i] if i >= 0 else [self.v.byte_ids[b] for b in next(unknown).encode("utf-8", "surrogatepass")])
         return np.array(made, np.int64)
 
-    def _learn(self, missing: list[tuple[str, int]]) -> None:
-        order: list[int] = []
-        ids, counts = [self.ids], []
-        for places, flat, count in self._split(missing):
-            order.extend(places)
+    def _learn(self, missing: np.ndarray) -> None:
+        """Split the units and variants of the given slots."""
+        units = [self.numbers.names[i] for i in (missing // self.variants).tolist()]
+        order, ids, counts = [], [self.ids], []
+        for places, flat, count in self._split(units, missing % self.variants):
+            order.append(places)
             ids.append(flat.astype(np.int32))
             counts.append(count)
         base, sizes = len(self.starts), np.concatenate(counts)
+        self.slots[missing[np.concatenate(order)]] = np.arange(base, base + len(missing))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate(ids)
-        self.known.update(zip(map(missing.__getitem__, order), range(base, base + len(order)), strict=True))
 
     def encode(self, texts: Sequence[str], keys: Sequence[int]) -> list[np.ndarray]:
         """Ids of every text; `keys` draws the variants of its words."""
         units = [_UNIT.findall(" " + t) if t else [] for t in texts]
-        if self.variants > 1:
-            draws = [self._draw(len(u), k) for u, k in zip(units, keys, strict=True)]
-            wanted = list(zip(chain.from_iterable(units), np.concatenate([*draws, []]).astype(int).tolist(), strict=True))
-        else:
-            wanted = [(u, 0) for u in chain.from_iterable(units)]
-        if len(self.known) > _KEPT_UNITS:
+        counts = [len(u) for u in units]
+        if len(self.numbers) > _KEPT_UNITS:
             self._forget()
-        missing = list({u for u in wanted if u not in self.known})
-        if missing:
+        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(units)), np.int64, sum(counts)) * self.variants
+        if self.variants > 1 and len(at):
+            at += np.concatenate([self._draw(n, k) for n, k in zip(counts, keys, strict=True)]).astype(np.int64)
+        room = len(self.numbers) * self.variants
+        if room > len(self.slots):
+            self.slots = np.concatenate([self.slots, np.full(room - len(self.slots), -1, np.int64)])
+        missing = np.unique(at[self.slots[at] < 0])
+        if len(missing):
             self._learn(missing)
-        at = np.fromiter(map(self.known.__getitem__, wanted), np.int64, len(wanted))
+        at = self.slots[at]
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         flat = self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        words = np.cumsum([len(u) for u in units])
-        cuts = np.concatenate(([0], ends))[words] if len(words) else words
-        return np.split(flat, cuts[:-1]) if len(words) else []
+        cuts = np.concatenate(([0], ends))[np.cumsum(counts, dtype=np.int64)]
+        return np.split(flat, cuts[:-1]) if len(texts) else []
 
     def _draw(self, n: int, key: int) -> np.ndarray:
         places = np.arange(n)
@@ -308,7 +322,7 @@ def decode(v: Vocabulary, ids: Sequence[int]) -> str:
     return made[1:].decode("utf-8", "surrogatepass")
 
 
-def _blocks(texts: list[str], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _blocks(texts: list[str], size: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `size` characters, so a batch with long texts is not encoded at once."""
     start, held = 0, 0
     for i, t in enumerate(texts):

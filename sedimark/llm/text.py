@@ -18,3 +18,15 @@ def stretches(text: str, step: int = _STEP) -> Iterator[str]:
         start = min(ends) + 1
     if start < len(text):
         yield text[start:]
+
+
+class Numbers(dict):
+    """Numbers units in the order in which they are met."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        number = self[unit] = len(self.names)
+        self.names.append(unit)
+        return number
