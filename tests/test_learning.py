@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from sedimark.learning import features, severity, zones
 from sedimark.plans import jobs
 from sedimark.sources.fixtures import PROFILE, incidents_silver
-from sedimark.sources.layout import Layout
 
 TREES = 10
 
@@ -12,9 +11,9 @@ TREES = 10
 @pytest.fixture(scope="module")
 def prepared(spark):
     silver = incidents_silver(spark, "/root/testdata/sf0.01")
-    kept = jobs.training_rows(silver, jobs.Settings(Layout("/nowhere"), profile=PROFILE)).persist()
-    yield kept
-    kept.unpersist()
+    rows = jobs.learning_rows(silver, PROFILE)
+    with severity.training_sample(rows, PROFILE.key, severity.SAMPLE_ROWS) as sample:
+        yield sample
 
 
 @pytest.fixture(scope="module")
@@ -71,8 +70,9 @@ def test_importance_is_ranked(run):
 
 def test_training_does_not_depend_on_layout(spark, run):
     silver = incidents_silver(spark, "/root/testdata/sf0.01").repartition(5, "city")
-    again = jobs.training_rows(silver, jobs.Settings(Layout("/nowhere"), profile=PROFILE))
-    assert severity.train_severity(again, trees=TREES).accuracy == run.accuracy
+    rows = jobs.learning_rows(silver, PROFILE)
+    with severity.training_sample(rows, PROFILE.key, severity.SAMPLE_ROWS) as again:
+        assert severity.train_severity(again, trees=TREES).accuracy == run.accuracy
 
 
 def test_too_little_data_gives_no_model(spark, prepared):
