@@ -8,12 +8,13 @@ ids up to the next one; decoding can start at any checkpoint, and all of a file'
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from sedimark.llm import files
 from sedimark.llm.tables import stored
+from sedimark.llm.text import Numbers
 from sedimark.session import fresh_path
 
 END_ID = 1
@@ -30,13 +32,15 @@ SCALE, LANES, STEPS, POINTS = 20, 32, 512, 4
 BLOCK = LANES * STEPS * POINTS
 _LOW = np.uint64(1 << 31)
 _MAGIC, _TABLE = b"RANS0001", "frequencies.rans"
-_KEPT_UNITS = 500_000
+_KEPT_UNITS = 600_000
 # Ids held by an encoding task before it writes blocks.
 _HELD = 32 * BLOCK
 
 # The tokenizer's word pattern, for text of plain Latin letters in lower case.
-_UNIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
-_OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xa0-\xff]|<\|")
+_UNIT = re.compile(r"[a-zªµºß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼-¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
+_WORD_END = "</w>"
+# Bytes of Latin-1 text that may be divided here.
+_PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA0, 0x100)])
 _GAPS = re.compile(r"[ \t\n\r]+")
 
 
@@ -54,44 +58,79 @@ class Tokenizer:
     """
 
     def __init__(self, path: str) -> None:
+        # Tasks share the machine's cores already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer as Library
 
         self.library = Library.from_file(path)
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith(_WORD_END)]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.numbers = Numbers()
         self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     @staticmethod
-    def units(text: str) -> list[str]:
-        if not _OTHER.search(text):
+    def plain(text: str) -> bool:
+        """Whether the text is of plain Latin letters, without control characters or special tokens."""
+        try:
+            return "<|" not in text and not text.encode("latin-1").translate(None, _PLAIN)
+        except UnicodeEncodeError:
+            return False
+
+    @classmethod
+    def units(cls, text: str) -> list[str]:
+        if cls.plain(text):
             return _UNIT.findall(text.lower())
         out: list[str] = []
         for chunk in _GAPS.split(text):
             if chunk:
-                out.extend([chunk] if _OTHER.search(chunk) else _UNIT.findall(chunk.lower()))
+                out.extend(_UNIT.findall(chunk.lower()) if cls.plain(chunk) else [chunk])
         return out
 
+    def _learn(self) -> None:
+        """Encode the units numbered since the last time: plain ones as one text of words, told apart by the ids
+        that end a word."""
+        new = self.numbers.names[len(self.starts) :]
+        starts, sizes = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        made, end = [self.ids], len(self.ids)
+
+        def keep(at: np.ndarray, flat: np.ndarray, n: np.ndarray) -> None:
+            nonlocal end
+            starts[at], sizes[at] = end + np.cumsum(n) - n, n
+            made.append(flat)
+            end += len(flat)
+
+        for lo in range(0, len(new), 5_000):
+            part = new[lo : lo + 5_000]
+            flags = np.fromiter(map(self.plain, part), bool, len(part))
+            words = list(compress(part, flags))
+            flat = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+            n = np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
+            if len(n) == len(words) and n.sum() == len(flat):
+                keep(lo + np.flatnonzero(flags), flat, n)
+            else:
+                flags[:] = False
+            others = self.library.encode_batch_fast(list(compress(part, ~flags)), add_special_tokens=False)
+            if others:
+                ids = [np.array(e.ids, np.uint32) for e in others]
+                keep(lo + np.flatnonzero(~flags), np.concatenate(ids), np.array(list(map(len, ids))))
+        self.ids = np.concatenate(made)
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         units = [self.units(t) for t in texts]
-        if len(self.known) > _KEPT_UNITS:
+        counts = list(map(len, units))
+        if len(self.numbers) > _KEPT_UNITS:
             self._forget()
-        missing = [u for u in dict.fromkeys(chain.from_iterable(units)) if u not in self.known]
-        if missing:
-            made = [e.ids for e in self.library.encode_batch_fast(missing, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, made), np.int64, len(made))
-            base = len(self.starts)
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            flat = np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum()))
-            self.ids = np.concatenate([self.ids, flat])
-            self.known.update(zip(missing, range(base, base + len(missing)), strict=True))
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(units)), np.int64)
+        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(units)), np.int64, sum(counts))
+        self._learn()
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         flat = self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        cuts = np.concatenate(([0], ends))[np.cumsum([len(u) for u in units])]
+        cuts = np.concatenate(([0], ends))[np.cumsum(counts, dtype=np.int64)]
         return np.split(flat, cuts[:-1])
 
 
@@ -308,8 +347,8 @@ def _tokenized(docs: DataFrame, doc_id: str, text: str, path: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, place = Tokenizer(path), 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                rows = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, 1_000):
+                rows = batch.slice(lo, 1_000)
                 ids = tokenizer.encode([t or "" for t in rows.column(2).to_pylist()])
                 made = pa.array([np.append(i, END_ID).astype("<u4").tobytes() for i in ids], pa.binary())
                 places = pa.array(range(place, place + rows.num_rows), pa.int64())
