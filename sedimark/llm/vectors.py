@@ -3,8 +3,10 @@
 Every level of a tree projects the vectors, scaled to length one, on a random direction and splits each node
 at a threshold; vectors within a margin of the threshold go to both sides. Two vectors of cosine COSINE are
 sqrt(2 - 2 COSINE) apart, so the gap between their projections on a direction drawn independently of them
-has a known spread, and a margin of three such spreads loses a pair with a chance of 0.3 % at most per split;
-several trees make the loss of a pair negligible. Pairs are compared within leaves of one label.
+has a known spread. Copies on both sides of a threshold cover three such spreads at every depth, so a split loses
+a pair with a chance of 0.3 % at most, wherever its threshold lies, and the trees are independent of each other:
+at depth d all of them lose it with a chance of (0.0027 d)^TREES at most (`loss_bound`), whatever the vectors are.
+Pairs are compared within leaves of one label.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from sedimark.operators.sampling import bounded_sample
 COSINE, TREES, LEAF, SEED = 0.98, 4, 256, 42
 # Vectors used to place the splits; every vector is sent down every tree.
 SAMPLE_ROWS = 20_000
+# Spreads of the gap that the copies at a threshold cover.
+SPREADS = 3.0
 # Nodes with fewer sample vectors split where the whole sample does. Nodes that would copy more than this share
 # of their vectors do not split at that level: a dense group stays together instead of being copied.
 NODE_SAMPLE, SPILL = 32, 0.4
@@ -52,7 +56,8 @@ class Trees:
                 known = self.nodes[t][level]
                 nodes, inverse = np.unique(codes, return_inverse=True)
                 cuts = np.array([known.get(n, self.levels[t][level]) for n in nodes.tolist()])[inverse]
-                value = (units @ direction)[rows]
+                # Row by row in one order of additions, so that a vector falls into the same leaves in every batch.
+                value = np.einsum("ij,j->i", units, direction)[rows]
                 left, right = value <= cuts + self.margin, value >= cuts - self.margin
                 rows = np.concatenate([rows[left], rows[right]])
                 codes = np.concatenate([codes[left] * 2, codes[right] * 2 + 1])
@@ -68,9 +73,14 @@ def grow(sample: np.ndarray, depth: int, cosine: float = COSINE, trees: int = TR
     directions = rng.normal(size=(trees, depth, size))
     directions /= np.linalg.norm(directions, axis=2, keepdims=True)
     gap = math.sqrt(2 - 2 * cosine) / math.sqrt(size)
-    spread = float((sample @ directions.reshape(-1, size).T).std(axis=0).mean()) if depth and len(sample) else 1.0
-    # Three spreads, or in deep trees what keeps the copies of a vector near four.
-    margin = 1.5 * gap if depth == 0 else min(1.5 * gap, math.log(4) * spread / (0.8 * depth))
+    # Both sides together three spreads, at every depth.
+    margin = SPREADS / 2 * gap
+
+    def cut_of(value: np.ndarray) -> float:
+        """The most even split that does not copy too much; infinite if there is none."""
+        tried = np.quantile(value, 0.5 + np.array([0, -0.05, 0.05, -0.1, 0.1, -0.15, 0.15, -0.2, 0.2]))
+        return next((float(c) for c in tried if (np.abs(value - c) <= margin).mean() <= SPILL), math.inf)
+
     nodes: list[list[dict[int, float]]] = []
     levels: list[list[float]] = []
     for t in range(trees):
@@ -79,15 +89,11 @@ def grow(sample: np.ndarray, depth: int, cosine: float = COSINE, trees: int = TR
         levels.append([])
         for direction in directions[t]:
             value, cuts, after = sample @ direction, {}, {}
-            levels[t].append(float(np.median(value)) if len(value) else 0.0)
+            levels[t].append(cut_of(value) if len(value) else 0.0)
             for node, members in held.items():
                 cut = levels[t][-1]
                 if len(members) >= NODE_SAMPLE:
-                    own = value[members]
-                    # The most even split that does not copy too much.
-                    tried = np.quantile(own, 0.5 + np.array([0, -0.05, 0.05, -0.1, 0.1, -0.15, 0.15, -0.2, 0.2]))
-                    cut = next((float(c) for c in tried if (np.abs(own - c) <= margin).mean() <= SPILL), math.inf)
-                    cuts[node] = cut
+                    cut = cuts[node] = cut_of(value[members])
                 side = {2 * node: members[value[members] <= cut], 2 * node + 1: members[value[members] > cut]}
                 after.update({k: m for k, m in side.items() if len(m) >= NODE_SAMPLE})
             nodes[t].append(cuts)
@@ -103,17 +109,24 @@ def unit_rows(vectors: list[np.ndarray], size: int) -> np.ndarray:
     return out / np.sqrt((out * out).sum(axis=1, keepdims=True))
 
 
-def _first_common(codes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The smallest code that both members of each pair have."""
-    least = np.full(len(left), np.iinfo(np.int64).max)
-    for c in range(codes.shape[1]):
-        one = codes[left, c]
-        shared = (codes[right] == one[:, None]).any(axis=1) & (one >= 0)
-        least = np.where(shared & (one < least), one, least)
-    return least
+def loss_bound(depth: int, trees: int = TREES) -> float:
+    """The chance at most that two vectors of cosine COSINE share no leaf of the forest."""
+    return min(depth * math.erfc(SPREADS / math.sqrt(2)), 1.0) ** trees
+
 
+def _met_before(units: np.ndarray, forest: Trees, here: int) -> np.ndarray:
+    """Per pair of vectors, whether they share a leaf of a smaller code."""
+    at, codes = forest.places(units)
+    at, codes = at[codes < here], codes[codes < here]
+    order = np.argsort(codes, kind="stable")
+    met = np.zeros((len(units), len(units)), bool)
+    for members in np.split(at[order], np.flatnonzero(np.diff(codes[order])) + 1):
+        if len(members) > 1:
+            met[np.ix_(members, members)] = True
+    return met
 
-def compare(group: pd.DataFrame, size: int, cosine: float = COSINE) -> pd.DataFrame:
+
+def compare(group: pd.DataFrame, size: int, forest: Trees, cosine: float = COSINE) -> pd.DataFrame:
     """(cid, root, n) for the members of one leaf, or two blocks of it, that have links.
 
     n adds up the copies of the linked classes. A pair that meets in several leaves counts in the first one
@@ -123,10 +136,6 @@ def compare(group: pd.DataFrame, size: int, cosine: float = COSINE) -> pd.DataFr
     units = unit_rows([np.frombuffer(v, np.float64) for v in group["vector"]], size)
     blocks, ids = group["own"].to_numpy(), group["cid"].to_numpy()
     copies = group["copies"].to_numpy()
-    lists = [np.frombuffer(p, np.int64) for p in group["places"]]
-    codes = np.full((len(lists), max(map(len, lists))), -1, np.int64)
-    for i, codes_of in enumerate(lists):
-        codes[i, : len(codes_of)] = codes_of
     first, second = group["one"].iloc[0], group["two"].iloc[0]
     links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
     linked_left, linked_right = [], []
@@ -140,12 +149,13 @@ def compare(group: pd.DataFrame, size: int, cosine: float = COSINE) -> pd.DataFr
         left, right = left[keep], right[keep]
         linked_left.append(left)
         linked_right.append(right)
-        for a in range(0, len(left), 100_000):
-            x, y = left[a : a + 100_000], right[a : a + 100_000]
-            counted = _first_common(codes, x, y) == here
-            np.add.at(links, x[counted], copies[y[counted]])
-            np.add.at(links, y[counted], copies[x[counted]])
     left, right = np.concatenate(linked_left), np.concatenate(linked_right)
+    touched = np.unique(np.concatenate([left, right]))
+    if len(touched):
+        met = _met_before(units[touched], forest, here)
+        counted = ~met[np.searchsorted(touched, left), np.searchsorted(touched, right)]
+        np.add.at(links, left[counted], copies[right[counted]])
+        np.add.at(links, right[counted], copies[left[counted]])
     # Numbered by class id, so that the smallest number is the smallest id.
     order = np.argsort(ids, kind="stable")
     root[order] = np.arange(len(ids))
@@ -155,7 +165,6 @@ def compare(group: pd.DataFrame, size: int, cosine: float = COSINE) -> pd.DataFr
         np.minimum.at(root, right, root[left])
         if (before == root).all():
             break
-    touched = np.unique(np.concatenate([left, right]))
     return pd.DataFrame({"cid": ids[touched], "root": ids[order][root[touched]], "n": links[touched]})
 
 
@@ -205,19 +214,18 @@ def near_duplicates(
             order = np.lexsort((codes, at))
             at, codes = at[order], codes[order]
             ends = np.cumsum(np.bincount(at, minlength=len(vectors)))
-            places = [c.tobytes() for c in np.split(codes, ends[:-1])]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array([len(v) for v in vectors], pa.int32()), batch.column(3),
-                    pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array(places, pa.binary()),
-                    pa.array([c.tolist() for c in np.split(codes, ends[:-1])], pa.list_(pa.int64())),
+                    pa.array([v.tobytes() for v in vectors], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(codes, pa.int64())),
                 ],
-                ["cid", "label", "size", "copies", "vector", "places", "codes"],
+                ["cid", "label", "size", "copies", "vector", "codes"],
             )
 
     kind = classes.schema["label"].dataType.simpleString()
     sent = classes.select("cid", "label", "vector", "copies").mapInArrow(
-        send, f"cid bigint, label {kind}, size int, copies bigint, vector binary, places binary, codes array<bigint>"
+        send, f"cid bigint, label {kind}, size int, copies bigint, vector binary, codes array<bigint>"
     )
     sent = stored(sent, "vector-leaves")
     leaf = ["label", "size", "code"]
@@ -228,7 +236,7 @@ def near_duplicates(
     dealt = dealt.withColumn("own", F.pmod(F.col("cid"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")})
     found = dealt.groupBy(*leaf, "one", "two").applyInPandas(
-        lambda group: compare(group, size, cosine), "cid bigint, root bigint, n bigint"
+        lambda group: compare(group, size, Trees(**forest.value), cosine), "cid bigint, root bigint, n bigint"
     )
     found = stored(found, "vector-links")
     links = found.groupBy("cid").agg(F.sum("n").alias("linked"))

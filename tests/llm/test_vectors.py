@@ -74,6 +74,30 @@ def test_a_forest_divides_and_loses_no_pair():
     assert len(at) / len(both) < 6 * vectors.TREES
 
 
+@pytest.mark.parametrize(("depth", "mean"), [(12, 0.0), (16, 0.0), (20, 0.0), (12, 0.7), (20, 0.7)])
+def test_deep_trees_lose_no_pair(depth, mean):
+    """Pairs at the least cosine, also of vectors that share a mean, for which a tree's splits are close to each other."""
+    rng = np.random.default_rng(depth)
+    shift = np.eye(64)[0] * mean * 8
+    sample = vectors.unit_rows(list(rng.normal(size=(8000, 64)) + shift), 64)
+    one = sample[:300]
+    side = rng.normal(size=one.shape)
+    side = vectors.unit_rows(list(side - (side * one).sum(axis=1)[:, None] * one), 64)
+    two = vectors.COSINE * one + np.sqrt(1 - vectors.COSINE**2) * side
+    forest = vectors.grow(sample, depth)
+    at, codes = forest.places(np.concatenate([one, two]))
+    per_tree = []
+    for t in range(vectors.TREES):
+        held = [set() for _ in range(600)]
+        mine = codes >> (vectors._LEVELS + 2) == t
+        for row, code in zip(at[mine].tolist(), codes[mine].tolist(), strict=True):
+            held[row].add(code)
+        per_tree.append([bool(held[i] & held[i + 300]) for i in range(300)])
+    assert np.any(per_tree, axis=0).all()
+    assert np.mean(per_tree) > 1 - 0.0027 * depth
+    assert vectors.loss_bound(depth) < 1e-5
+
+
 def test_query_equals_sql(spark, small):
     db = duckdb.connect()
     db.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{small}/embeddings.parquet'")
