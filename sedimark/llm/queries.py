@@ -28,6 +28,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op5_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.documents(read_table(spark, sf_dir, "documents"))
+
+
 def op5_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.conversations(read_table(spark, sf_dir, "conversations"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op2_pieces": op2_pieces,
     "op3_vectors": op3_vectors,
     "op4_language": op4_language,
+    "op5_documents": op5_documents,
     "op5_search": op5_search,
     "op6_mixing": op6_mixing,
     "op7_tokens": op7_tokens,
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op1_warc": warc.ORACLE,
     "op3_vectors": vectors.ORACLE,
+    "op5_documents": search.DOCUMENTS_ORACLE,
     "op5_search": search.ORACLE,
     "op6_mixing": mixing.ORACLE,
 }
