@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimark.llm import language, mixing, pieces, quality, search, simhash, tokens, toxicity, vectors, warc
+from sedimark.llm import copies, language, merkle, mixing, pieces, quality, search, simhash, strata, tokens, toxicity, vectors, warc
 from sedimark.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strata.ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(read_table(spark, sf_dir, "documents"))
+
+
+def op13_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies.classes(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_pieces": op2_pieces,
@@ -68,6 +80,9 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_strata": op11_strata,
+    "op12_merkle": op12_merkle,
+    "op13_copies": op13_copies,
 }
 
 ORACLE: dict[str, str] = {
@@ -76,4 +91,7 @@ ORACLE: dict[str, str] = {
     "op5_documents": search.DOCUMENTS_ORACLE,
     "op5_search": search.ORACLE,
     "op6_mixing": mixing.ORACLE,
+    "op11_strata": strata.ORACLE,
+    "op12_merkle": merkle.ORACLE,
+    "op13_copies": copies.ORACLE,
 }

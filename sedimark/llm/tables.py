@@ -18,10 +18,10 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stored_with(df: DataFrame, label: str, **measures) -> tuple[DataFrame, dict]:
+def stored_with(df: DataFrame, label: str, compression: str = "snappy", **measures) -> tuple[DataFrame, dict]:
     """`stored`, with aggregates of the rows taken by the tasks that write them."""
     seen = Observation()
-    kept = stored(df.observe(seen, *[m.alias(n) for n, m in measures.items()]), label)
+    kept = stored(df.observe(seen, *[m.alias(n) for n, m in measures.items()]), label, compression)
     return kept, seen.get
 
 
