@@ -44,7 +44,7 @@ _STRETCH = 1 << 20
 
 # ASCII letters to lower case, other letters and digits as they are, all else of ASCII to spaces.
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 32 for b in range(256))
-_ITEM = pa.schema([("query", pa.int64()), ("item_id", pa.int64()), ("term", pa.binary()), ("times", pa.int64()), ("w", pa.int64())])
+_ITEM = pa.schema([("block", pa.int64()), ("query", pa.int64()), ("item_id", pa.int64()), ("term", pa.binary()), ("times", pa.int64()), ("w", pa.int64())])
 
 
 def terms_of(text: str | None) -> Iterator[list[bytes]]:
@@ -311,7 +311,9 @@ def _frequencies(dictionary: Callable, _data: Callable) -> Callable:
 
     def of(queries: pa.Table) -> Iterator[pa.RecordBatch]:
         found = [(t, df_of[t]) for t in queries["term"].unique().to_pylist() if t in df_of]
-        yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.binary()), pa.array([n for _, n in found], pa.int64())], ["term", "df"])
+        block = queries["block"].combine_chunks()[:1].to_pylist() * len(found)
+        columns = [pa.array(block, pa.int64()), pa.array([t for t, _ in found], pa.binary()), pa.array([n for _, n in found], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "term", "df"])
 
     return of
 
@@ -368,8 +370,9 @@ def search(index: Index, items: DataFrame, item_id: str = "item_id", text: str =
 
     folder = fresh_path(items.sparkSession, "strata-queries")
     unweighed = _written(asked.withColumn("w", F.lit(0).cast("bigint")), folder)
-    df = _over(index, unweighed, blocks, folder, _frequencies, "term binary, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
-    weighed = asked.join(stored(df, "strata-frequencies"), "term").withColumn("w", weight(index.documents, F.col("df")))
+    found = _over(index, unweighed, blocks, folder, _frequencies, "block bigint, term binary, df bigint")
+    df = stored(found.groupBy("block", "term").agg(F.sum("df").alias("df")), "strata-frequencies")
+    weighed = asked.join(df, ["block", "term"]).withColumn("w", weight(index.documents, F.col("df")))
     ready = _written(weighed.where("w > 0").drop("df"), folder)
 
     found = stored(_over(index, ready, blocks, folder, _hits(top), "query bigint, item_id bigint, doc_id bigint, score bigint"), "strata-hits")

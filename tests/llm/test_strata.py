@@ -1,0 +1,125 @@
+import math
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sedimark.llm import strata
+from sedimark.llm.queries import ORACLE, QUERIES
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
+
+
+def terms_of(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def plain(docs, items, top=10):
+    """(item_id, rank, doc_id, score) from the definition."""
+    bags = [(d, Counter(terms_of(t))) for d, t in docs]
+    bags = [(d, b) for d, b in bags if b]
+    n, length = len(bags), sum(b.total() for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for item, text in items:
+        hits = []
+        for doc, bag in bags:
+            m = 100 - 75 + 75 * bag.total() * n // length
+            score = sum(
+                math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * bag[t] // (1000 * bag[t] + 8 * m))
+                for t in terms_of(text) if t in bag
+            )
+            if score > 0:
+                hits.append((-score, doc is None, doc or 0, doc))
+        out += [(item, i, doc, -s) for i, (s, _, _, doc) in enumerate(sorted(hits, key=lambda x: x[:3])[:top], 1)]
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture()
+def items(spark):
+    return lambda *rows: spark.createDataFrame(list(rows), "item_id bigint, text string")
+
+
+def made_documents(rng, count, words=300, longest=200):
+    odds = 1 / np.arange(1, words + 1)
+    vocabulary = np.array([f"w{i}" for i in range(words)])
+    return [(i, " ".join(rng.choice(vocabulary, int(rng.integers(1, longest)), p=odds / odds.sum()))) for i in range(count)]
+
+
+def test_terms():
+    text = "Ab-c_d9é  x y\x7fÀB\x00z @Q[w`{~"
+    assert [t.decode() for s in strata.terms_of(text) for t in s] == terms_of(text)
+    assert list(strata.bag_of(None)) == [] and list(strata.bag_of("")) == []
+
+
+def test_long_texts_are_read_whole(monkeypatch):
+    monkeypatch.setattr(strata, "_STRETCH", 7)
+    text = "alpha beta " * 50 + "x" * 100 + " end"
+    assert strata.bag_of(text) == Counter(t.encode() for t in terms_of(text))
+    assert [t.decode() for s in strata.terms_of(text) for t in s] == terms_of(text)
+
+
+def test_shards_strata_and_bounds_are_exact(documents, items, monkeypatch):
+    monkeypatch.setattr(strata, "SHARD_WORDS", 1_500)
+    monkeypatch.setattr(strata, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(strata, "_FIRST", 4)
+    rng = np.random.default_rng(3)
+    docs = made_documents(rng, 400)
+    # A third of the documents share one length, many one text.
+    docs += [(1_000 + i, "w3 w5 w8 w200 w8") for i in range(150)] + [(2_000 + i, f"w{i % 90} w7 w7 w1") for i in range(50)]
+    asked = [(i, docs[int(rng.integers(len(docs)))][1] + " W3 unknown w290") for i in range(30)]
+    for top in (1, 10):
+        got = found(strata.ranked(documents(*docs).repartition(6), items(*asked), top=top))
+        assert got == plain(docs, asked, top)
+
+
+def test_strata_below_the_score_to_beat_are_not_read():
+    """Long documents that hold the query's words once cannot beat short ones."""
+    texts = ["rare common"] * 40 + ["common " + "filler " * (500 + i) for i in range(3_000)]
+    bags = [strata.bag_of(t) for t in texts]
+    n = np.array([b.total() for b in bags])
+    shard = strata.Shard.build(
+        np.arange(len(texts)), np.ones(len(texts), bool), n, [b" ".join(b) for b in bags],
+        [np.fromiter(b.values(), "<u4").tobytes() for b in bags], len(texts), int(n.sum()),
+    )
+    searcher = strata.Searcher(strata.Shard.load(*shard.dump()))
+    docs, scores = searcher.best([b"rare", b"common"], np.array([8_000, 10]), 10)
+    assert docs.tolist() == list(range(10)) and len(set(scores.tolist())) == 1
+    assert searcher.read < 600
+    # Every tf of a stratum is one run with one impact.
+    assert len(searcher.impact) < len(shard.posting)
+
+
+def test_edge_cases(documents, items):
+    docs = [
+        (1, "alpha beta"), (1, "alpha beta"), (2, None), (3, ""), (4, " .,!"), (None, "alpha"), (None, "alpha gamma"),
+        (5, "beta " * 60_000), (-6, "ALPHA beta"), (7, "alpha " * 3), (8, "ÀLPHA alphà"), (2**62, "delta"),
+    ]
+    asked = [(1, "alpha beta"), (1, "alpha beta"), (None, "gamma"), (2, None), (3, ""), (4, "nowhere"), (5, "Alpha alpha ÀLPHA delta")]
+    got = strata.ranked(documents(*docs, extra=True), items(*asked).withColumn("rank", F.lit("x")))
+    assert found(got) == plain(docs, asked)
+    assert strata.ranked(documents(), items(*asked)).count() == 0
+    assert strata.ranked(documents(*docs), items()).count() == 0
+    assert strata.ranked(documents((1, None)), items(*asked)).count() == 0
+
+
+def test_an_index_serves_several_searches(documents, items):
+    docs = made_documents(np.random.default_rng(4), 60)
+    index = strata.build(documents(*docs))
+    for asked in ([(1, "w1 w2 w250")], [(2, "w9"), (3, "w7 w7")]):
+        assert found(strata.search(index, items(*asked))) == plain(docs, asked)
+
+
+def test_query_equals_sql(spark, small):
+    db = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
+    assert found(QUERIES["op11_strata"](spark, small)) == sorted(db.sql(ORACLE["op11_strata"]).fetchall(), key=repr)
