@@ -11,13 +11,16 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain, compress
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +35,8 @@ SCALE, LANES, STEPS, POINTS = 20, 32, 512, 4
 BLOCK = LANES * STEPS * POINTS
 _LOW = np.uint64(1 << 31)
 _MAGIC, _TABLE = b"RANS0001", "frequencies.rans"
-_KEPT_UNITS = 600_000
+# Chunks whose ids a worker process remembers.
+_KEPT_CHUNKS = 600_000
 # Ids held by an encoding task before it writes blocks.
 _HELD = 32 * BLOCK
 
@@ -51,10 +55,11 @@ def default_tokenizer() -> str:
 
 
 class Tokenizer:
-    """Ids of texts by the tokenizers library, which sees every different unit once.
+    """Ids of texts by the tokenizers library, which sees every different word once.
 
-    The vocabulary's words never span white space, so a text's ids are those of its units. Text of plain
-    Latin letters is divided into the tokenizer's own words; anything else goes to it between white space.
+    The vocabulary's words never span white space, so a text's ids are those of the chunks between it. Chunks are
+    numbered and their ids kept. A chunk of plain Latin letters that was not met before is divided into the
+    tokenizer's own words, of which the library encodes the new ones; any other goes to the library as it is.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,12 +71,28 @@ class Tokenizer:
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(_WORD_END)]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers = Numbers()
+        self.numbers, self.uses = Numbers(), np.zeros(0, np.int64)
         self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    @staticmethod
+    def of_worker(path: str) -> Tokenizer:
+        """The tokenizer of this worker process: what it has learnt stays from task to task."""
+        kept = sys.modules.setdefault("_sedimark_worker", ModuleType("_sedimark_worker")).__dict__
+        if path not in kept:
+            kept[path] = Tokenizer(path)
+        return kept[path]
+
+    def _compact(self) -> None:
+        """Forget the chunks met once; of the others, those met most stay."""
+        often = np.flatnonzero(self.uses > 1)
+        often = np.sort(often[np.argsort(-self.uses[often], kind="stable")[: _KEPT_CHUNKS // 2]])
+        numbers = Numbers()
+        for i in often.tolist():
+            numbers[self.numbers.names[i]]
+        self.ids = self.ids[_ranges(self.starts[often], self.sizes[often])]
+        self.numbers, self.uses, self.sizes = numbers, self.uses[often], self.sizes[often]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
     @staticmethod
     def plain(text: str) -> bool:
         """Whether the text is of plain Latin letters, without control characters or special tokens."""
@@ -80,60 +101,101 @@ class Tokenizer:
         except UnicodeEncodeError:
             return False
 
-    @classmethod
-    def units(cls, text: str) -> list[str]:
-        if cls.plain(text):
-            return _UNIT.findall(text.lower())
-        out: list[str] = []
-        for chunk in _GAPS.split(text):
-            if chunk:
-                out.extend(_UNIT.findall(chunk.lower()) if cls.plain(chunk) else [chunk])
-        return out
+    def _numbered(self, texts: pa.StringArray | pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all chunks of all texts, and how many each text has. Arrow divides plain texts and gathers
+        their different chunks, so that only those become Python strings."""
+        plain = np.fromiter(map(self.plain, texts.to_pylist()), bool, len(texts))
+        counts = np.zeros(len(texts), np.int64)
+        divided = pc.ascii_split_whitespace(texts.filter(pa.array(plain)))
+        counts[plain] = divided.value_lengths().to_numpy(zero_copy_only=False)
+        coded = divided.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        number = np.fromiter(map(self.numbers.__getitem__, names), np.int64, len(names))
+        made = number[coded.indices.to_numpy()] if names else np.zeros(0, np.int64)
+        if plain.all():
+            return made, counts
+        others = [[c for c in _GAPS.split(t) if c] for t in texts.filter(pa.array(~plain)).to_pylist()]
+        counts[~plain] = list(map(len, others))
+        of_plain = np.repeat(plain, counts)
+        at = np.zeros(len(of_plain), np.int64)
+        at[of_plain] = made
+        at[~of_plain] = [self.numbers[c] for c in chain.from_iterable(others)]
+        return at, counts
 
     def _learn(self) -> None:
-        """Encode the units numbered since the last time: plain ones as one text of words, told apart by the ids
-        that end a word."""
-        new = self.numbers.names[len(self.starts) :]
-        starts, sizes = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        """Ids of the chunks numbered since the last time."""
+        names, first = self.numbers.names, len(self.starts)
+        composed: list[int] = []
+        words: list[list[str]] = []
+        library, single = [], []
+        for i in range(first, len(names)):
+            if not self.plain(names[i]):
+                library.append(i)
+                continue
+            found = _UNIT.findall(names[i].lower())
+            if found == [names[i]]:
+                single.append(i)
+            else:
+                composed.append(i)
+                words.append(found)
+        known = len(names)
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        parts = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        single.extend(range(known, len(names)))
+
+        grown = len(names) - first
+        self.starts, self.sizes = np.append(self.starts, np.zeros(grown, np.int64)), np.append(self.sizes, np.zeros(grown, np.int64))
+        self.uses = np.append(self.uses, np.zeros(grown, np.int64))
         made, end = [self.ids], len(self.ids)
 
-        def keep(at: np.ndarray, flat: np.ndarray, n: np.ndarray) -> None:
+        def keep(at: Sequence[int], flat: np.ndarray, n: np.ndarray) -> None:
             nonlocal end
-            starts[at], sizes[at] = end + np.cumsum(n) - n, n
+            self.starts[at], self.sizes[at] = end + np.cumsum(n) - n, n
             made.append(flat)
             end += len(flat)
 
-        for lo in range(0, len(new), 5_000):
-            part = new[lo : lo + 5_000]
-            flags = np.fromiter(map(self.plain, part), bool, len(part))
-            words = list(compress(part, flags))
-            flat = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        for lo in range(0, len(single), 5_000):
+            part = single[lo : lo + 5_000]
+            # One text of words, told apart by the ids that end a word.
+            text = " ".join([names[i] for i in part])
+            flat = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             n = np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
-            if len(n) == len(words) and n.sum() == len(flat):
-                keep(lo + np.flatnonzero(flags), flat, n)
+            if len(n) == len(part) and n.sum() == len(flat):
+                keep(part, flat, n)
             else:
-                flags[:] = False
-            others = self.library.encode_batch_fast(list(compress(part, ~flags)), add_special_tokens=False)
-            if others:
-                ids = [np.array(e.ids, np.uint32) for e in others]
-                keep(lo + np.flatnonzero(~flags), np.concatenate(ids), np.array(list(map(len, ids))))
+                library.extend(part)
+        for lo in range(0, len(library), 5_000):
+            part = library[lo : lo + 5_000]
+            ids = [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast([names[i] for i in part], add_special_tokens=False)]
+            keep(part, np.concatenate(ids), np.array(list(map(len, ids))))
         self.ids = np.concatenate(made)
-        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
-
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        units = [self.units(t) for t in texts]
-        counts = list(map(len, units))
-        if len(self.numbers) > _KEPT_UNITS:
-            self._forget()
-        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(units)), np.int64, sum(counts))
-        self._learn()
+        if composed:
+            sizes = np.concatenate(([0], np.cumsum(self.sizes[parts])))
+            ends = np.cumsum(counts)
+            made = [self.ids]
+            keep(composed, self.ids[_ranges(self.starts[parts], self.sizes[parts])], sizes[ends] - sizes[ends - counts])
+            self.ids = np.concatenate(made)
+
+    def encode(self, texts: pa.StringArray | Sequence[str | None]) -> list[np.ndarray]:
+        """The ids of each text; null is empty."""
+        if len(self.numbers) > _KEPT_CHUNKS:
+            self._compact()
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        at, counts = self._numbered(texts.fill_null(""))
+        if len(self.numbers) > len(self.starts):
+            self._learn()
+        self.uses += np.bincount(at, minlength=len(self.uses))
         sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        flat = self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        cuts = np.concatenate(([0], ends))[np.cumsum(counts, dtype=np.int64)]
+        flat = self.ids[_ranges(self.starts[at], sizes)]
+        cuts = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(counts)]
         return np.split(flat, cuts[:-1])
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of each range, one range after the other."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+
+
 @dataclass(frozen=True)
 class Frequencies:
     """Share of each id out of 2^SCALE, and where its stretch begins."""
@@ -345,11 +407,11 @@ def _tokenized(docs: DataFrame, doc_id: str, text: str, path: str) -> DataFrame:
     dealt = plain.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, place = Tokenizer(path), 0
+        tokenizer, place = Tokenizer.of_worker(path), 0
         for batch in batches:
             for lo in range(0, batch.num_rows, 1_000):
                 rows = batch.slice(lo, 1_000)
-                ids = tokenizer.encode([t or "" for t in rows.column(2).to_pylist()])
+                ids = tokenizer.encode(rows.column(2))
                 made = pa.array([np.append(i, END_ID).astype("<u4").tobytes() for i in ids], pa.binary())
                 places = pa.array(range(place, place + rows.num_rows), pa.int64())
                 place += rows.num_rows

@@ -33,6 +33,20 @@ def test_ids_are_the_librarys(library, spark, small):
     assert [g.tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_ids_of_random_strings_are_the_librarys(library, monkeypatch):
+    """Also while the tokenizer forgets what it met once."""
+    monkeypatch.setattr(tokens, "_KEPT_CHUNKS", 900)
+    rng = np.random.default_rng(8)
+    signs = list("abcdeiostABCé'ß .,;:!?-_()\"1²½µ\t\n\r\xa0\x0b\x1c\u0130\u0391\u03a3語<|>")
+    texts = ["".join(rng.choice(signs, int(rng.integers(0, 60)))) for _ in range(6_000)]
+    tokenizer = tokens.Tokenizer(tokens.default_tokenizer())
+    for lo in range(0, len(texts), 250):
+        part = texts[lo : lo + 250] + texts[:20]
+        got = tokenizer.encode(part)
+        assert [g.tolist() for g in got] == [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+    assert len(tokenizer.numbers) < 5_000
+
+
 @pytest.mark.parametrize("size", [0, 1, 31, 32, 33, tokens.BLOCK - 1, tokens.BLOCK, tokens.BLOCK + 1, 3 * tokens.BLOCK + 777])
 def test_blocks_round_trip(size):
     rng = np.random.default_rng(size)
