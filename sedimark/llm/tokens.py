@@ -36,7 +36,7 @@ BLOCK = LANES * STEPS * POINTS
 _LOW = np.uint64(1 << 31)
 _MAGIC, _TABLE = b"RANS0001", "frequencies.rans"
 # Chunks whose ids a worker process remembers.
-_KEPT_CHUNKS = 600_000
+_KEPT_CHUNKS = 1_000_000
 # Ids held by an encoding task before it writes blocks.
 _HELD = 32 * BLOCK
 
@@ -72,6 +72,8 @@ class Tokenizer:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(_WORD_END)]] = True
         self.numbers, self.uses = Numbers(), np.zeros(0, np.int64)
+        # New chunks below this number are of plain texts.
+        self.plain_until = 0
         self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     @staticmethod
@@ -111,6 +113,7 @@ class Tokenizer:
         coded = divided.flatten().dictionary_encode()
         names = coded.dictionary.to_pylist()
         number = np.fromiter(map(self.numbers.__getitem__, names), np.int64, len(names))
+        self.plain_until = len(self.numbers)
         made = number[coded.indices.to_numpy()] if names else np.zeros(0, np.int64)
         if plain.all():
             return made, counts
@@ -129,15 +132,20 @@ class Tokenizer:
         words: list[list[str]] = []
         library, single = [], []
         for i in range(first, len(names)):
-            if not self.plain(names[i]):
-                library.append(i)
-                continue
-            found = _UNIT.findall(names[i].lower())
-            if found == [names[i]]:
+            name = names[i]
+            if name.isalpha() and name.islower() and (i < self.plain_until or self.plain(name)):
                 single.append(i)
-            else:
+            elif i < self.plain_until or self.plain(name):
                 composed.append(i)
-                words.append(found)
+                words.append(_UNIT.findall(name.lower()))
+            else:
+                library.append(i)
+        # A chunk that is one word was not composed after all.
+        alone = [i for i, w in zip(composed, words, strict=True) if w == [names[i]]]
+        if alone:
+            single.extend(alone)
+            kept = [(i, w) for i, w in zip(composed, words, strict=True) if w != [names[i]]]
+            composed, words = [i for i, _ in kept], [w for _, w in kept]
         known = len(names)
         counts = np.fromiter(map(len, words), np.int64, len(words))
         parts = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
@@ -397,8 +405,9 @@ class TokenFiles:
 
 
 def _tokenized(docs: DataFrame, doc_id: str, text: str, path: str) -> DataFrame:
-    """(part, place, doc_id, ids) in ascending id order: by part, within it by place. Rows without id come first.
+    """(part, place, doc_id, ids, counts) in ascending id order: by part, within it by place. Rows without id come first.
 
+    Some rows carry, as pairs of id and number, how often the ids of the rows since the last such row occur.
     Documents are range-partitioned by id; a hash of the text spreads the rows of an id that repeats.
     """
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -412,32 +421,30 @@ def _tokenized(docs: DataFrame, doc_id: str, text: str, path: str) -> DataFrame:
             for lo in range(0, batch.num_rows, 1_000):
                 rows = batch.slice(lo, 1_000)
                 ids = tokenizer.encode(rows.column(2))
+                total = np.bincount(np.concatenate([*ids, np.full(len(ids), END_ID, np.uint32)]))
+                counts = [None] * (rows.num_rows - 1) + [np.stack((total.nonzero()[0], total[total > 0])).astype("<u8").tobytes()]
                 made = pa.array([np.append(i, END_ID).astype("<u4").tobytes() for i in ids], pa.binary())
                 places = pa.array(range(place, place + rows.num_rows), pa.int64())
                 place += rows.num_rows
-                yield pa.RecordBatch.from_arrays([rows.column(0), places, rows.column(1), made], ["part", "place", "doc_id", "ids"])
+                columns = [rows.column(0), places, rows.column(1), made, pa.array(counts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "place", "doc_id", "ids", "counts"])
 
     made = dealt.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return made.mapInArrow(encode, "part int, place bigint, doc_id bigint, ids binary")
+    return made.mapInArrow(encode, "part int, place bigint, doc_id bigint, ids binary, counts binary")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for lo in range(0, batch.num_rows, 500):
-            ids = b"".join(batch.column(0).slice(lo, 500).to_pylist())
-            total = _added(total, np.bincount(np.frombuffer(ids, "<u4")))
+        for pairs in batch.column(0).to_pylist():
+            at, n = np.frombuffer(pairs, "<u8").astype(np.int64).reshape(2, -1)
+            if len(at) and at[-1] >= len(total):
+                total = np.append(total, np.zeros(int(at[-1]) + 1 - len(total), np.int64))
+            total[at] += n
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
 
 
-def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    if len(a) < len(b):
-        a, b = b, a
-    a[: len(b)] += b
-    return a
-
-
 def write(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> TokenFiles:
     """Token files of every document's whole text with END_ID after it. Runs jobs.
 
@@ -446,7 +453,8 @@ def write(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer
     """
     spark = docs.sparkSession
     tokens = stored(_tokenized(docs, doc_id, text, tokenizer or default_tokenizer()), "tokens", "zstd")
-    counted = tokens.select("ids").mapInArrow(_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    told = tokens.select("counts").where("counts IS NOT NULL")
+    counted = told.mapInArrow(_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(int(counted["id"].max()) + 1 if len(counted) else 1, np.float64)
     counts[counted["id"].to_numpy(dtype=np.int64)] = counted["n"].to_numpy()
     folder = fresh_path(spark, "token-files")
@@ -472,7 +480,7 @@ def write(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer
         names = ["part", "first", "name", "docs", "tokens"]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    made = stored(tokens.mapInArrow(encode, "part int, first bigint, name string, docs bigint, tokens bigint"), "token-manifest")
+    made = stored(tokens.drop("counts").mapInArrow(encode, "part int, first bigint, name string, docs bigint, tokens bigint"), "token-manifest")
     # One row per file.
     before = Window.orderBy("part", "first").rowsBetween(Window.unboundedPreceding, -1)
     manifest = made.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
