@@ -71,6 +71,8 @@ class Tokenizer:
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(_WORD_END)]] = True
+        # How ids are kept between the tasks.
+        self.width = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
         self.numbers, self.uses = Numbers(), np.zeros(0, np.int64)
         # New chunks below this number are of plain texts.
         self.plain_until = 0
@@ -418,12 +420,12 @@ def _tokenized(docs: DataFrame, doc_id: str, text: str, path: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, place = Tokenizer.of_worker(path), 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1_000):
-                rows = batch.slice(lo, 1_000)
+            for lo in range(0, batch.num_rows, 2_000):
+                rows = batch.slice(lo, 2_000)
                 ids = tokenizer.encode(rows.column(2))
                 total = np.bincount(np.concatenate([*ids, np.full(len(ids), END_ID, np.uint32)]))
                 counts = [None] * (rows.num_rows - 1) + [np.stack((total.nonzero()[0], total[total > 0])).astype("<u8").tobytes()]
-                made = pa.array([np.append(i, END_ID).astype("<u4").tobytes() for i in ids], pa.binary())
+                made = pa.array([np.append(i, END_ID).astype(tokenizer.width).tobytes() for i in ids], pa.binary())
                 places = pa.array(range(place, place + rows.num_rows), pa.int64())
                 place += rows.num_rows
                 columns = [rows.column(0), places, rows.column(1), made, pa.array(counts, pa.binary())]
@@ -452,7 +454,9 @@ def write(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer
     vocabulary, passes through the driver. A task that runs twice leaves a file the manifest does not name.
     """
     spark = docs.sparkSession
-    tokens = stored(_tokenized(docs, doc_id, text, tokenizer or default_tokenizer()), "tokens", "zstd")
+    path = tokenizer or default_tokenizer()
+    width = Tokenizer(path).width
+    tokens = stored(_tokenized(docs, doc_id, text, path), "tokens", "zstd")
     told = tokens.select("counts").where("counts IS NOT NULL")
     counted = told.mapInArrow(_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(int(counted["id"].max()) + 1 if len(counted) else 1, np.float64)
@@ -472,7 +476,7 @@ def write(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer
                     rows.append(shard.close())
                     shard = None
                 shard = shard or Shard(folder, table, part, place)
-                shard.add(doc.as_py(), np.frombuffer(ids.as_buffer(), "<u4"))
+                shard.add(doc.as_py(), np.frombuffer(ids.as_buffer(), width))
         if shard:
             rows.append(shard.close())
         columns = list(zip(*rows, strict=True)) or [[]] * 5
