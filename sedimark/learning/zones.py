@@ -1,18 +1,29 @@
-"""Risk zones: clusters of incidents and their profile."""
+"""Risk zones: clusters of incidents and their profile.
+
+Zones do not depend on how the rows are laid out. The clustering sees every different point once, weighted by its
+number of rows, and in one order: points are dealt to parts by their hash, as many parts as their number asks for, and
+sorted within.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+import math
+
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimark.functions import risk_level
 from sedimark.learning.features import ZONE_INPUTS, available
+from sedimark.sources.sinks import materialized
 
 # Number of zones and seed.
 ZONES, SEED = 5, 42
+POINTS_PER_PART = 250_000
+_WEIGHT = "__weight"
 
 
 def zone_columns(prepared: DataFrame) -> DataFrame:
@@ -20,13 +31,39 @@ def zone_columns(prepared: DataFrame) -> DataFrame:
     return prepared.select(*dict.fromkeys([*available(prepared, ZONE_INPUTS), "severity", "start_lat", "start_lng"]))
 
 
+def weighted_points(prepared: DataFrame, inputs: list[str]) -> DataFrame:
+    """The different complete points with their number of rows, in an order of their own. Runs a job."""
+    whole = prepared
+    for name in inputs:
+        whole = whole.where(F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double")))
+    points, count = materialized(whole.groupBy(*inputs).agg(F.count(F.lit(1)).alias(_WEIGHT)), "zone-points")
+    parts = max(math.ceil(count / POINTS_PER_PART), 1)
+    return points.repartition(parts, *inputs).sortWithinPartitions(*inputs)
+
+
+def _scales(points: DataFrame, inputs: list[str]) -> list[float]:
+    """One over each input's deviation, rounded so that the order of addition does not show; 0 for a constant."""
+    n = F.sum(_WEIGHT)
+    terms = []
+    for name in inputs:
+        value = F.col(name).cast("double")
+        mean = F.sum(value * F.col(_WEIGHT)) / n
+        terms.append((F.sum(value * value * F.col(_WEIGHT)) / n - mean * mean).alias(name))
+    spread = points.agg(*terms).first()
+    deviations = [round(math.sqrt(max(v or 0.0, 0.0)), 6) for v in spread]
+    return [1 / d if d else 0.0 for d in deviations]
+
+
 def fit_zones(prepared: DataFrame, zones: int = ZONES, seed: int = SEED, scaled: bool = False) -> PipelineModel:
     """K-means over place and context; unscaled unless `scaled`, so that distance on the map dominates."""
-    assembler = VectorAssembler(inputCols=available(prepared, ZONE_INPUTS), outputCol="raw", handleInvalid="skip")
-    scaler = StandardScaler(inputCol="raw", outputCol="features")
-    source = "features" if scaled else "raw"
-    kmeans = KMeans(featuresCol=source, predictionCol="cluster", k=zones, seed=seed)
-    return Pipeline(stages=[assembler, *([scaler] if scaled else []), kmeans]).fit(prepared)
+    inputs = available(prepared, ZONE_INPUTS)
+    points = weighted_points(prepared, inputs)
+    assembler = VectorAssembler(inputCols=inputs, outputCol="raw", handleInvalid="skip")
+    stages = [assembler]
+    if scaled:
+        stages.append(ElementwiseProduct(inputCol="raw", outputCol="features", scalingVec=Vectors.dense(_scales(points, inputs))))
+    kmeans = KMeans(featuresCol="features" if scaled else "raw", predictionCol="cluster", weightCol=_WEIGHT, k=zones, seed=seed)
+    return PipelineModel(stages=[*stages, kmeans.fit(PipelineModel(stages=stages).transform(points))])
 
 
 def assign_zones(model: PipelineModel, prepared: DataFrame) -> DataFrame:

@@ -9,12 +9,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from sedimark.functions import label_of, portable_hash, weighted_label
-
-BATCH = "situation_date"
+from sedimark.sources import history
+from sedimark.sources.history import BATCH
 
 
 def tag_batch(df: DataFrame, day: str) -> DataFrame:
@@ -45,13 +45,18 @@ def write_batches(df: DataFrame, path: str, max_rows_per_file: int = 0, rebalanc
     """Store batches by date. Dates present in `df` are replaced, all others stay: a re-run is safe.
 
     By default rows are written where they are, without a shuffle. `rebalance` merges small and splits
-    large dates into even files, at the cost of one.
+    large dates into even files, at the cost of one. The days' schema is recorded beside them, see `history`.
     """
-    arranged = df.hint("rebalance", BATCH) if rebalance else df
+    spark, seen = df.sparkSession, Observation()
+    marker = history.begin(spark, path)
+    # One value per day.
+    days = df.observe(seen, F.collect_set(F.col(BATCH).cast("string")).alias("days"))
+    arranged = days.hint("rebalance", BATCH) if rebalance else days
     writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH)
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     writer.parquet(path)
+    history.finish(spark, path, marker, seen.get["days"], df.schema)
 
 
 def snapshot(bronze: DataFrame, day: str | dt.date | None = None) -> DataFrame:

@@ -19,7 +19,7 @@ from sedimark.plans import marts
 from sedimark.plans.serving import MARTS, mart_path
 from sedimark.profile import INCIDENTS, RecordProfile
 from sedimark.session import delete_path, intermediates, list_folders
-from sedimark.sources import catalog, files, sinks
+from sedimark.sources import catalog, files, history, sinks
 from sedimark.sources.layout import Layout
 
 log = logging.getLogger(__name__)
@@ -74,7 +74,7 @@ def refine(spark: SparkSession, settings: Settings, as_of: str | None = None) ->
     failed write leaves the table as it was.
     """
     layout = settings.layout
-    bronze, corrupt = files.split_corrupt(snapshots.snapshot(files.read_parquet(spark, layout.bronze), as_of))
+    bronze, corrupt = files.split_corrupt(snapshots.snapshot(history.scan(spark, layout.bronze), as_of))
     silver = clean(bronze, settings.profile)
     path = layout.silver_version(uuid.uuid4().hex)
     sinks.write_parquet(silver, path)

@@ -81,6 +81,31 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().toString() for entry in found if entry.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str, folders: bool = False) -> list[tuple[str, str]]:
+    """(name, path) of the files, or the folders, that lie directly in a folder; none if it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [entry for entry in system.listStatus(where) if entry.isDirectory() == folders] if system.exists(where) else []
+    return [(entry.getPath().getName(), entry.getPath().toString()) for entry in found]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, such as a record of what a job has done."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
 @contextmanager
 def intermediates(spark: SparkSession) -> Iterator[None]:
     """Own the intermediate tables made inside: they are removed at the end, also after a failure.
