@@ -248,8 +248,42 @@ BODIES = {
     "snapshot_redelivered": """SELECT situation_date, count(*) AS rows, count(DISTINCT id) AS ids,
           count(*) FILTER (situation_date = DATE '2025-01-02') AS changed
         FROM incidents_bronze WHERE situation_date <> DATE '2025-01-02' OR id % 3 = 0 GROUP BY situation_date""",
+    "snapshot_evolved": """SELECT id, copy_no,
+          CASE WHEN situation_date = DATE '2025-01-03' THEN severity + 0.5E0 ELSE severity::DOUBLE END AS severity,
+          CASE WHEN situation_date = DATE '2025-01-02' THEN NULL ELSE city END AS city, junction::VARCHAR AS junction,
+          CASE WHEN situation_date = DATE '2025-01-01' THEN NULL ELSE distance_mi END AS distance_mi, situation_date
+        FROM incidents_bronze""",
+    "silver_by_day": "SELECT * FROM incidents_silver",
+    "cities_sketched": """SELECT state, count(DISTINCT city) AS cities, true AS close FROM incidents_silver
+        WHERE situation_date <> DATE '2025-01-02' GROUP BY state""",
+    "landing_redelivered": """SELECT situation_date, count(*) AS rows, count(DISTINCT id) AS ids,
+          CAST(sum(severity) AS BIGINT) AS severity FROM incidents_bronze
+        WHERE situation_date <> DATE '2025-01-01' OR id % 3 = 0 GROUP BY situation_date""",
+}
+
+
+# The second day as it was delivered again, in the place of what came before.
+AGAIN = VIEWS.replace("required AS (\n  SELECT * FROM incidents_bronze", """redelivered AS (
+  SELECT * REPLACE (CASE WHEN situation_date = DATE '2025-01-02' THEN 'AGAIN' ELSE city END AS city) FROM incidents_bronze
+  WHERE situation_date <> DATE '2025-01-02' OR id % 3 = 0),
+required AS (
+  SELECT * FROM redelivered""")
+
+BODIES_AGAIN = {
+    "silver_redelivered": "SELECT * FROM incidents_silver",
+    "marts_by_day": """SELECT 'state_stats' AS mart, state AS k1, NULL::VARCHAR AS k2, total_accidents, avg_severity,
+          CAST(cities_count AS DOUBLE) AS figure FROM state_stats
+        UNION ALL SELECT 'time_patterns', hour::VARCHAR, day_of_week::VARCHAR, total_accidents, avg_severity, NULL FROM time_patterns
+        UNION ALL SELECT 'weather_analysis', weather_condition, NULL, total_accidents, avg_severity, avg_temperature
+          FROM weather_analysis
+        UNION ALL SELECT 'city_hotspots', state, city, total_accidents, avg_severity, round(lat + lng, 5)
+          FROM (SELECT state, city, count(*) AS total_accidents, round(avg(severity), 6) AS avg_severity,
+              avg(start_lat) AS lat, avg(start_lng) AS lng
+            FROM incidents_silver GROUP BY state, city HAVING count(*) >= 50
+            ORDER BY total_accidents DESC, state, city NULLS FIRST LIMIT 200)""",
 }
 
 
 def statements() -> dict[str, str]:
-    return {name: f"{VIEWS}\n{body}" for name, body in BODIES.items()}
+    again = {name: f"{AGAIN}\n{body}" for name, body in BODIES_AGAIN.items()}
+    return {**{name: f"{VIEWS}\n{body}" for name, body in BODIES.items()}, **again}

@@ -38,6 +38,16 @@ def _leading_order(profile: RecordProfile) -> tuple[str, ...]:
     return (*profile.tie_break, *[c for c in profile.ranges if c not in profile.tie_break])
 
 
+def ranked_rows(df: DataFrame, profile: RecordProfile) -> tuple[DataFrame, RecordProfile, Sequence[str]]:
+    """The rows that compete for their key, filled; the rules that hold for them; the order that decides."""
+    named = tidy_names(df)
+    rules = profile.bound_to(named.columns)
+    present = require(named, rules.required)
+    filled = fill_defaults(fill_from_column(present, rules.fallbacks), rules.defaults)
+    order = _leading_order(rules)
+    return filled, rules, order if rules.tie_break_is_total else settle_ties(filled, rules.key, order)
+
+
 def clean(df: DataFrame, profile: RecordProfile, dedup: Dedup = keep_first, strict: bool = False) -> DataFrame:
     """Rename, require, fill, deduplicate, normalise, cast, check ranges; in this order.
 
@@ -46,18 +56,12 @@ def clean(df: DataFrame, profile: RecordProfile, dedup: Dedup = keep_first, stri
     Deduplication precedes the range checks: a bad row that is first of its key removes its good
     copies. `strict` makes a rule for a column the frame lacks an error.
     """
-    named = tidy_names(df)
-    rules = profile.bound_to(named.columns)
     if strict:
         wanted = {*profile.defaults, *profile.fallbacks, *profile.uppercase}
-        absent = sorted(wanted - set(named.columns))
+        absent = sorted(wanted - set(tidy_names(df).columns))
         if absent:
             raise ValueError(f"profile columns are missing: {absent}")
-    present = require(named, rules.required)
-    filled = fill_defaults(fill_from_column(present, rules.fallbacks), rules.defaults)
-    order = _leading_order(rules)
-    if not rules.tie_break_is_total:
-        order = settle_ties(filled, rules.key, order)
+    filled, rules, order = ranked_rows(df, profile)
     single = dedup(filled, rules.key, order)
     typed = cast_columns(normalize_columns(single, rules.uppercase), dict(rules.types))
     return within(typed, rules.ranges)

@@ -26,8 +26,8 @@ def settle_ties(df: DataFrame, key: str, first: Sequence[str] = ()) -> list[str]
     return [*first, *rest]
 
 
-def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The row of each key that is first in the ascending order of `order` (nulls first).
+def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row of each key (one column or several) that is first in the ascending order of `order` (nulls first).
 
     Spark reduces every key to one row inside each map task (the rank filter is pushed below the
     exchange as a partial group limit), so a key that holds a third of the input reaches its reducer

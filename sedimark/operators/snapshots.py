@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sedimark.functions import label_of, portable_hash, weighted_label
 from sedimark.sources import history
 from sedimark.sources.history import BATCH
+from sedimark.sources.sinks import observed
 
 
 def tag_batch(df: DataFrame, day: str) -> DataFrame:
@@ -41,8 +42,9 @@ def append_batch(history: DataFrame, batch: DataFrame) -> DataFrame:
     return history.unionByName(batch, allowMissingColumns=True)
 
 
-def write_batches(df: DataFrame, path: str, max_rows_per_file: int = 0, rebalance: bool = False) -> None:
-    """Store batches by date. Dates present in `df` are replaced, all others stay: a re-run is safe.
+def write_batches(df: DataFrame, path: str, max_rows_per_file: int = 0, rebalance: bool = False) -> list[str]:
+    """Store batches by date. Dates present in `df` are replaced, all others stay: a re-run is safe. Returns the
+    dates written.
 
     By default rows are written where they are, without a shuffle. `rebalance` merges small and splits
     large dates into even files, at the cost of one. The days' schema is recorded beside them, see `history`.
@@ -56,7 +58,9 @@ def write_batches(df: DataFrame, path: str, max_rows_per_file: int = 0, rebalanc
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     writer.parquet(path)
-    history.finish(spark, path, marker, seen.get["days"], df.schema)
+    written = sorted(observed(seen).get("days", []))
+    history.finish(spark, path, marker, written, df.schema)
+    return written
 
 
 def snapshot(bronze: DataFrame, day: str | dt.date | None = None) -> DataFrame:

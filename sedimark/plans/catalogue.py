@@ -25,10 +25,10 @@ from sedimark.operators.filling import fill_defaults, fill_from_column
 from sedimark.operators.paging import page_of
 from sedimark.operators.sampling import bounded_sample, train_test
 from sedimark.operators.validity import require, within
-from sedimark.plans import jobs, marts
+from sedimark.plans import daily, jobs, marts
 from sedimark.plans.serving import SERVED, open_marts
 from sedimark.session import fresh_path
-from sedimark.sources import catalog, files, sinks
+from sedimark.sources import catalog, files, history, sinks
 from sedimark.sources.fixtures import PROFILE, incidents_bronze, incidents_silver
 from sedimark.sources.layout import Layout
 from sedimark.streaming.landing import ingest_arrivals
@@ -683,3 +683,106 @@ def snapshot_redelivered(spark: SparkSession, folder: str) -> DataFrame:
     return stored.agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"), F.count_if(changed).alias("changed")
     )
+
+
+# --- days that differ, days kept up to date ---------------------------------------------------------------
+
+
+def _day(rows: DataFrame, day: str) -> DataFrame:
+    return rows.where(F.col(snapshots.BATCH) == F.lit(day).cast("date"))
+
+
+@query()
+def snapshot_evolved(spark: SparkSession, folder: str) -> DataFrame:
+    """Days with one column more, one fewer and wider types, the last day delivered first."""
+    bronze = incidents_bronze(spark, folder).select("id", "copy_no", "severity", "city", "junction", "distance_mi", snapshots.BATCH)
+    path = fresh_path(spark, "evolved")
+    third = _day(bronze, "2025-01-03").withColumn("severity", F.col("severity") + F.lit(0.5)).withColumn("junction", F.col("junction").cast("string"))
+    snapshots.write_batches(third, path)
+    snapshots.write_batches(_day(bronze, "2025-01-01").drop("distance_mi"), path)
+    snapshots.write_batches(_day(bronze, "2025-01-02").drop("city").withColumn("severity", F.col("severity").cast("bigint")), path)
+    return history.scan(spark, path)
+
+
+def _by_day(spark: SparkSession, folder: str, label: str, redelivered: bool) -> jobs.Settings:
+    """Silver kept by the day: three deliveries, the second day last; then that day again, with fewer, changed rows."""
+    bronze = incidents_bronze(spark, folder)
+    root = fresh_path(spark, label)
+    table = "sedimark_jobs." + root.rsplit("/", 1)[-1].replace("-", "_")
+    settings = jobs.Settings(Layout(root), profile=PROFILE, table=table)
+    for day in ("2025-01-01", "2025-01-03", "2025-01-02"):
+        snapshots.write_batches(_day(bronze, day), settings.layout.bronze)
+        daily.refine_daily(spark, settings, buckets=8)
+        if day == "2025-01-03":
+            daily.build_marts_daily(spark, settings)
+    if redelivered:
+        again = _day(bronze, "2025-01-02").where("id % 3 = 0").withColumn("city", F.lit("AGAIN"))
+        snapshots.write_batches(again, settings.layout.bronze)
+        daily.refine_daily(spark, settings, buckets=8)
+    return settings
+
+
+@query()
+def silver_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    settings = _by_day(spark, folder, "by_day", redelivered=False)
+    return catalog.read_table(spark, settings.table).drop("copy_no")
+
+
+@query()
+def silver_redelivered(spark: SparkSession, folder: str) -> DataFrame:
+    settings = _by_day(spark, folder, "again", redelivered=True)
+    return catalog.read_table(spark, settings.table).drop("copy_no")
+
+
+@query()
+def marts_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The four marts from partial sums per day, after days were added and one was delivered again."""
+    settings = _by_day(spark, folder, "day_marts", redelivered=True)
+    daily.build_marts_daily(spark, settings)
+    none = F.lit(None).cast("string")
+    figures = {
+        "state_stats": (F.col("state"), none, F.col("cities_count").cast("double")),
+        "time_patterns": (F.col("hour").cast("string"), F.col("day_of_week").cast("string"), F.lit(None).cast("double")),
+        "weather_analysis": (F.col("weather_condition"), none, F.round("avg_temperature", 6)),
+        "city_hotspots": (F.col("state"), F.col("city"), F.round(F.col("latitude") + F.col("longitude"), 5)),
+    }
+    made = None
+    for mart, (first, second, figure) in figures.items():
+        rows = files.read_parquet(spark, settings.layout.gold(mart)).select(
+            F.lit(mart).alias("mart"), first.alias("k1"), second.alias("k2"), "total_accidents",
+            F.round("avg_severity", 6).alias("avg_severity"), figure.alias("figure"),
+        )
+        made = rows if made is None else made.unionByName(rows)
+    return made
+
+
+@query()
+def cities_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Different cities per state from stored sketches, over two of the days; whether they are close to the exact number."""
+    settings = _by_day(spark, folder, "sketched", redelivered=False)
+    daily.build_marts_daily(spark, settings)
+    days = ("2025-01-01", "2025-01-03")
+    about = daily.city_sketches(spark, settings.layout, days).withColumnRenamed("cities", "about")
+    rows = catalog.read_table(spark, settings.table).where(F.col(snapshots.BATCH).isin(*[F.lit(d).cast("date") for d in days]))
+    exact = rows.groupBy("state").agg(F.countDistinct("city").alias("cities"))
+    close = F.abs(F.col("about") - F.col("cities")) <= F.col("cities") * 0.05 + 0.5
+    return exact.join(about, "state").select("state", "cities", close.alias("close"))
+
+
+@query()
+def landing_redelivered(spark: SparkSession, folder: str) -> DataFrame:
+    """Streamed days, one delivered again, beside a day written by a batch job."""
+    raw = incidents_bronze(spark, folder)
+    landing, root = fresh_path(spark, "arrivals"), fresh_path(spark, "arrived")
+    bronze = f"{root}/bronze"
+    schema = raw.drop(snapshots.BATCH).schema
+    snapshots.write_batches(_day(raw, "2025-01-03"), bronze)
+    deliveries = (
+        ("2025-01-01", _day(raw, "2025-01-01")), ("2025-01-02", _day(raw, "2025-01-02")),
+        ("2025-01-01", _day(raw, "2025-01-01").where("id % 3 = 0")),
+    )
+    for i, (day, rows) in enumerate(deliveries):
+        sinks.write_csv(rows.drop(snapshots.BATCH), f"{landing}/part={i}")
+        ingest_arrivals(spark, f"{landing}/part=*", schema, bronze, f"{root}/progress", day)
+    stored = history.scan(spark, bronze).groupBy(snapshots.BATCH)
+    return stored.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"), F.sum("severity").alias("severity"))

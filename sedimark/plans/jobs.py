@@ -70,8 +70,8 @@ def ingest(spark: SparkSession, settings: Settings) -> None:
 def refine(spark: SparkSession, settings: Settings, as_of: str | None = None) -> dict[str, Any]:
     """Bronze snapshot to the cleaned Silver table; returns the quality report and the number of corrupt lines.
 
-    Silver is written to a new folder, then the table is switched to it and older folders are removed, so a
-    failed write leaves the table as it was.
+    Silver is written to a new folder, then the table is switched to it. The folder it showed before stays until the
+    next run, for readers that are at work; a failed write leaves the table as it was.
     """
     layout = settings.layout
     bronze, corrupt = files.split_corrupt(snapshots.snapshot(history.scan(spark, layout.bronze), as_of))
@@ -81,9 +81,10 @@ def refine(spark: SparkSession, settings: Settings, as_of: str | None = None) ->
     database, dot, _ = settings.table.rpartition(".")
     if dot:
         catalog.create_database(spark, database)
-    catalog.register_external(spark, settings.table, path, silver.schema)
+    before = catalog.location_of(spark, settings.table) or ""
+    catalog.switch_external(spark, settings.table, path, silver.schema)
     for older in list_folders(spark, layout.silver):
-        if older.rsplit("/", 1)[-1] != path.rsplit("/", 1)[-1]:
+        if older.rsplit("/", 1)[-1] not in (path.rsplit("/", 1)[-1], before.rsplit("/", 1)[-1]):
             delete_path(spark, older)
     report = quality_report(bronze, settings.profile).first().asDict()
     return {**report, "corrupt_lines": corrupt.count()}

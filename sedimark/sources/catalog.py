@@ -35,6 +35,40 @@ def register_external(
     return spark.table(table)
 
 
+def location_of(spark: SparkSession, table: str) -> str | None:
+    """Where a table's files lie; None without such a table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    said = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").where("col_name = 'Location'").first()
+    return said["data_type"] if said else None
+
+
+def _same_columns(spark: SparkSession, table: str, schema: T.StructType) -> bool:
+    return [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in schema]
+
+
+def switch_external(spark: SparkSession, table: str, path: str, schema: T.StructType) -> DataFrame:
+    """Point a table to other files; it is never absent in between unless its columns change."""
+    if location_of(spark, table) is None or not _same_columns(spark, table, schema):
+        return register_external(spark, table, path, schema)
+    location = path.replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def sync_external(
+    spark: SparkSession, table: str, path: str, schema: T.StructType, partitions: Sequence[str]
+) -> DataFrame:
+    """Make a partitioned table show the partitions its folder has now; it is created where it is not there yet."""
+    where = location_of(spark, table)
+    if where is None or not where.rstrip("/").endswith(path.split(":", 1)[-1].rstrip("/")) or not _same_columns(spark, table, schema):
+        return register_external(spark, table, path, schema, partitions)
+    spark.sql(f"MSCK REPAIR TABLE {quoted(table)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     """The tables of a database, without the session's temporary views."""
     return spark.sql(f"SHOW TABLES IN {quoted(database)}").where("NOT isTemporary")

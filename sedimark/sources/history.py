@@ -96,6 +96,12 @@ def finish(spark: SparkSession, path: str, marker: str, days: Iterable[str], sch
     delete_path(spark, marker)
 
 
+def forget(spark: SparkSession, path: str, day: str) -> None:
+    """Remove a stored day, its record first."""
+    delete_path(spark, f"{_folder(path)}/{day}.json")
+    delete_path(spark, f"{path.rstrip('/')}/{BATCH}={day}")
+
+
 def batches(spark: SparkSession, path: str) -> list[Batch]:
     """The stored days in their order. Reads a small file per day; days without record, one file's footer."""
     records = {name: place for name, place in list_files(spark, _folder(path))}

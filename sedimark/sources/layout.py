@@ -24,6 +24,30 @@ class Layout:
         """One written state of Silver; the table says which one holds."""
         return self._under("silver", f"version-{version}")
 
+    @property
+    def silver_daily(self) -> str:
+        """Silver kept by the day; a batch table, as Bronze is."""
+        return self._under("silver_daily")
+
+    @property
+    def silver_ledger(self) -> str:
+        return self._under("silver_daily", "_ledger.json")
+
+    @property
+    def key_states(self) -> str:
+        return self._under("silver_keys")
+
+    def key_state(self, version: str) -> str:
+        return self._under("silver_keys", f"version-{version}")
+
+    def partials(self, name: str) -> str:
+        """Partial sums per day, which the marts are added up from."""
+        return self._under("partials", name)
+
+    @property
+    def partials_ledger(self) -> str:
+        return self._under("partials", "_ledger.json")
+
     def gold(self, mart: str) -> str:
         return self._under("gold", mart)
 

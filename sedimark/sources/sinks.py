@@ -10,6 +10,7 @@ import logging
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
@@ -28,10 +29,20 @@ CSV_EXACT = {
 }
 
 
+def observed(seen: Observation) -> dict:
+    """What was observed; nothing where adaptive execution found no rows and left the observing step out."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:
+        if "assertion failed" not in str(error.java_exception):
+            raise
+        return {}
+
+
 def _counted(df: DataFrame, save: Callable[[DataFrameWriter], None]) -> int:
     seen = Observation()
     save(df.observe(seen, F.count(F.lit(1)).alias("rows")).write)
-    return int(seen.get["rows"])
+    return int(observed(seen).get("rows", 0))
 
 
 def _arranged(df: DataFrame, files: int | None, even: bool) -> DataFrame:

@@ -101,6 +101,23 @@ def test_zones(prepared):
     assert [r["accident_count"] for r in again] == [r["accident_count"] for r in rows]
 
 
+@pytest.mark.parametrize("scaled", [False, True])
+def test_zones_do_not_depend_on_layout(prepared, scaled, monkeypatch):
+    """The same zones from 1, 3 and 8 partitions and from shuffled rows, also when points lie in many parts."""
+    monkeypatch.setattr(zones, "POINTS_PER_PART", 500)
+    found = []
+    for rows in (prepared.coalesce(1), prepared.repartition(3), prepared.repartition(8, "city"), prepared.orderBy(F.rand(7))):
+        profile = zones.zone_profile(zones.assign_zones(zones.fit_zones(rows, scaled=scaled), rows)).collect()
+        found.append([(r["risk_zone"], r["accident_count"], round(r["center_lat"], 6), round(r["center_lng"], 6)) for r in profile])
+    assert all(f == found[0] for f in found)
+
+
+def test_points_are_weighted_and_complete(spark):
+    rows = spark.createDataFrame([(30.0, -100.0), (30.0, -100.0), (31.0, -100.0), (None, 1.0), (float("nan"), 1.0)], "start_lat double, start_lng double")
+    points = zones.weighted_points(rows, ["start_lat", "start_lng"])
+    assert sorted(tuple(r) for r in points.collect()) == [(30.0, -100.0, 2), (31.0, -100.0, 1)]
+
+
 def test_scaled_zones(prepared):
     model = zones.fit_zones(prepared, zones=3, scaled=True)
     assert zones.assign_zones(model, prepared).select("risk_zone").distinct().count() == 3
