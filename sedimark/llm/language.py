@@ -2,7 +2,8 @@
 
 A text becomes a vector of hashed letter n-grams (one to three, spaces as word ends), weighted by TF-IDF and
 normalised. Each language has several centroids, clustered from a bounded sample; a text takes the language
-of the centroid with the largest cosine, and is rejected when even that one is too far away.
+of the centroid with the largest cosine, and is rejected when even that one is too far away, as learnt from sample rows
+that the clustering did not see.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ DIMENSIONS, CENTROIDS, ROUNDS = 1 << 14, 4, 10
 SAMPLE_ROWS = 400
 FOLDS, HELD_OUT, SEED = 4, 2, 42
 UNKNOWN = "und"
-# A text is rejected below this share of the smallest cosine seen in the language's sample.
-REJECT_SHARE = 0.25
+# A text is rejected below this share of a low quantile of the cosines of held-back sample rows; texts of fewer n-grams
+# than SHORT, which are less like their language, below a share less in proportion to the root of their number.
+REJECT_SHARE, REJECT_QUANTILE, SHORT = 0.4, 0.02, 100
+_HELD_BACK = 4
 _FACTORS = np.array([2654435761, 2246822519, 3266489917], dtype=np.uint32)
 
 
@@ -101,6 +104,28 @@ def spherical_means(vectors: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
+def shortness(grams: np.ndarray | int) -> np.ndarray:
+    """Share of the rejection floor that holds for a text of so many n-grams."""
+    return np.sqrt(np.minimum(np.asarray(grams) / SHORT, 1.0))
+
+
+def _sample(known: DataFrame) -> DataFrame:
+    """At most SAMPLE_ROWS rows per language with different ids, those of the smallest hashes; one text per id.
+
+    A share of the ids, some three times as many as are wanted, is taken by the hash before any are ranked, so what a
+    language sends to its ranking does not grow with its rows or with the tasks.
+    """
+    place = portable_hash(["doc_id"], SEED, "language")
+    ids = known.where(F.col("doc_id").isNotNull()).select("lang", "doc_id", place.alias("place"))
+    sizes = ids.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
+    near = F.conv(F.substring("place", 1, 12), 16, 10).cast("double") * F.col("n") < 3 * SAMPLE_ROWS * 16.0**12
+    few = ids.join(sizes, "lang").where(near | (F.col("n") <= 3 * SAMPLE_ROWS)).select("lang", "doc_id", "place").distinct()
+    ranked = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = few.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= SAMPLE_ROWS)
+    chosen = stored(chosen.select("lang", "doc_id"), "language-sample")
+    return known.join(chosen, ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+
+
 def fit(docs: DataFrame, train: Column | None = None) -> Languages:
     """Learned from text and lang of the training fold's rows. Runs jobs."""
     fold = crc_fold("doc_id", FOLDS) != HELD_OUT if train is None else train
@@ -113,19 +138,19 @@ def fit(docs: DataFrame, train: Column | None = None) -> Languages:
     frequency[list(number)] = list(number.values())
     idf = np.log((1 + texts) / (1 + frequency)) + 1.0
 
-    ranked = Window.partitionBy("lang").orderBy(portable_hash(["doc_id"], SEED, "language"), "doc_id")
-    ids = known.select("lang", "doc_id").withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= SAMPLE_ROWS)
-    ids = stored(ids.select("lang", "doc_id"), "language-sample")
-    sample = known.join(ids, ["lang", "doc_id"], "left_semi")
+    sample = _sample(known)
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         letters = letter_table()
-        rows = [weighted(c, idf) for t in group.sort_values("doc_id")["text"] if (c := ngram_counts(t, letters)).any()]
-        if not rows:
+        found = [c for t in group.sort_values("doc_id")["text"] if (c := ngram_counts(t, letters)).any()]
+        if not found:
             return pd.DataFrame({"lang": [], "centroid": [], "floor": []})
-        vectors = np.stack(rows)
-        centres = spherical_means(vectors, CENTROIDS)
-        floor = REJECT_SHARE * float((vectors @ centres.T).max(axis=1).min())
+        vectors, sizes = np.stack([weighted(c, idf) for c in found]), np.array([c.sum() for c in found])
+        back = np.arange(len(vectors)) % _HELD_BACK == _HELD_BACK - 1
+        centres = spherical_means(vectors[~back], CENTROIDS)
+        judged = back if back.any() else ~back
+        cosines = (vectors[judged] @ centres.T).max(axis=1) / shortness(sizes[judged])
+        floor = REJECT_SHARE * float(np.quantile(cosines, REJECT_QUANTILE))
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": list(centres), "floor": floor})
 
     made = sample.groupBy("lang").applyInPandas(cluster, "lang string, centroid array<float>, floor double")
@@ -154,7 +179,8 @@ def predict_column(docs: DataFrame, text: str | Column, model: Languages) -> Col
                 cosines = model.centroids @ weighted(counts, model.idf)
                 best = int(cosines.argmax())
                 cosine = float(cosines[best])
-                out.append((model.names[best], min(max(cosine, 0.0), 1.0), cosine < model.floors[best]))
+                floor = model.floors[best] * shortness(counts.sum())
+                out.append((model.names[best], min(max(cosine, 0.0), 1.0), bool(cosine < floor)))
             yield pd.DataFrame(out, columns=["lang_pred", "score", "rejected"])
 
     return predicted(text)

@@ -16,15 +16,15 @@ from operator import eq
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimark.llm.labelled import training_texts
-from sedimark.llm.tables import crc_fold
+from sedimark.llm.tables import crc_fold, stored
 from sedimark.llm.toxicity import logistic
 
-# Labelled rows used to fit.
-TRAIN_ROWS = 4_000
+# Labelled rows used to fit, and the lines that they may have together.
+TRAIN_ROWS, TRAIN_LINES = 4_000, 100_000
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
 STEPS, RATE, RIDGE, STEP_RIDGE = 60, 0.15, 1e-3, 0.05
@@ -183,22 +183,33 @@ def _learn(features: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray,
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: int = TRAIN_ROWS) -> Field:
     """The field, learned from at most `rows` labelled rows of the training fold. Runs jobs.
 
-    Without labelled text every document scores one half; with one class only, near that class.
+    Rows are taken whole, those of few lines first and in the order of a hash among those of as many, while they have
+    at most TRAIN_LINES lines together; the driver holds no more than these lines' features. Without labelled text every document scores one half; with one class only, near that class.
     """
     fold = crc_fold("doc_id", FOLDS) != HELD_OUT if train is None else train
     texts = training_texts(docs, labels, "quality", fold, rows)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [document(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f.astype(np.float16).tobytes() for f, _ in made], pa.binary()),
-                 pa.array([n.tobytes() for _, n in made], pa.binary()), batch.column(1)],
-                ["features", "lengths", "label"],
-            )
-
-    kept = texts.select("text", "label").mapInArrow(summed, "features binary, lengths binary, label int")
-    # The bounded sample: `rows` documents as line features.
+            for lo in range(0, batch.num_rows, 50):
+                part = batch.slice(lo, 50)
+                made = [document(t) for t in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f.astype(np.float16).tobytes() for f, _ in made], pa.binary()),
+                     pa.array([n.tobytes() for _, n in made], pa.binary()), part.column(1), part.column(2),
+                     pa.array([len(n) for _, n in made], pa.int64())],
+                    ["features", "lengths", "label", "doc_id", "n"],
+                )
+
+    kept = texts.select("text", "label", F.col("doc_id").cast("string").alias("doc_id")).mapInArrow(
+        summed, "features binary, lengths binary, label int, doc_id string, n bigint"
+    )
+    kept = stored(kept, "quality-features")
+    # One row per sampled document.
+    so_far = Window.orderBy("n", F.md5(F.col("doc_id").cast("binary"))).rowsBetween(Window.unboundedPreceding, 0)
+    fits = kept.select("doc_id", "n").withColumn("lines", F.sum("n").over(so_far)).where(F.col("lines") <= TRAIN_LINES)
+    kept = kept.join(F.broadcast(fits.select("doc_id")), "doc_id", "left_semi").select("features", "lengths", "label")
+    # The bounded sample as line features.
     sample = [
         (np.frombuffer(f, np.float16).reshape(-1, WIDTH).astype(np.float32), np.frombuffer(n), label)
         for f, n, label in kept.collect()

@@ -23,8 +23,11 @@ from sedimark.llm.graph import Forest, connected
 from sedimark.llm.tables import stored
 
 RADIUS, WORDS, SEED, BITS = 4, 4, 42, 64
-# Different fingerprints compared within one bucket; larger buckets are dealt out again by a second cover.
+# Different fingerprints compared within one bucket; larger buckets are dealt out again by a further cover.
 BUCKET = 4096
+# How the covers place their vectors. One mask of each fixes 52 bits or more, so the last cover's buckets have at most
+# 2^12 different fingerprints, whatever the input.
+_COVERS = ((1, 0), (11, 5), (47, 7), (61, 33))
 _STEP = 1 << 15
 
 
@@ -63,9 +66,9 @@ def fingerprint_column(text: str | Column) -> Column:
 
 
 def _spread(level: int) -> list[int]:
-    """m(i) per bit position; the second level places the vectors independently of the first."""
-    vectors = (1 << (RADIUS + 1)) - 1
-    return [(i if level == 1 else (i * 11 + 5) % BITS) % vectors + 1 for i in range(BITS)]
+    """m(i) per bit position; every level places the vectors independently of the others."""
+    vectors, (step, first) = (1 << (RADIUS + 1)) - 1, _COVERS[level - 1]
+    return [(i * step + first) % BITS % vectors + 1 for i in range(BITS)]
 
 
 def masks(level: int = 1) -> list[int]:
@@ -90,21 +93,34 @@ def _dealt(prints: DataFrame, level: int, owner: Column | None = None) -> DataFr
 
 
 def linked_in(values: np.ndarray, forest: Forest) -> None:
-    """Join all pairs of `values` within the radius, comparing block by block."""
+    """Join all pairs of `values` within the radius, comparing block by block.
+
+    In a dense block, values joined already have one label, and only pairs of different labels join.
+    """
+    label = np.arange(len(values))
     for start in range(0, len(values), 1024):
         block = values[start : start + 1024]
         near = np.bitwise_count(block[:, None] ^ values[None, start:]) <= RADIUS
-        rows, cols = np.nonzero(near)
-        for i, j in zip(rows.tolist(), cols.tolist(), strict=True):
-            if i < j:
-                forest.join(int(block[i]), int(values[start + j]))
+        if np.count_nonzero(near) < 8 * len(block):
+            for i, j in np.argwhere(near).tolist():
+                if i < j:
+                    forest.join(int(block[i]), int(values[start + j]))
+            continue
+        for i, row in enumerate(near, start=start):
+            others = start + np.flatnonzero(row)
+            others = others[label[others] != label[i]]
+            while len(others):
+                j = int(others[0])
+                forest.join(int(values[i]), int(values[j]))
+                label[label == label[j]] = label[i]
+                others = others[label[others] != label[i]]
 
 
 def _edges(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
     """Rows (a, b, again): an edge, or for a bucket over the limit the (bucket, fp) rows to deal again.
 
-    Input is sorted by bucket; at most BUCKET members of the open bucket are held unless `last`, where a
-    bucket holds at most 2^16 different fingerprints, as both covers together fix 48 bits.
+    Input is sorted by bucket; at most BUCKET members of the open bucket are held unless it is the `last` cover, whose
+    buckets are bounded by the bits that all covers fix.
     """
     key, held, over = None, [], False
 
@@ -157,10 +173,17 @@ def near_edges(prints: DataFrame) -> DataFrame:
         parts = dealt.repartition("bucket").sortWithinPartitions("bucket")
         return parts.mapInArrow(lambda it: _edges(it, last), "a bigint, b bigint, again boolean")
 
-    first = stored(found(_dealt(prints, 1), False), "simhash-edges")
-    again = first.where("again").select(F.col("a").alias("owner"), F.col("b").alias("fp"))
-    second = found(_dealt(again, 2, F.col("owner")), True)
-    return first.where("not again").select("a", "b").unionAll(second.select("a", "b"))
+    edges, open_, owner = None, prints, None
+    for level in range(1, len(_COVERS) + 1):
+        last = level == len(_COVERS)
+        made = stored(found(_dealt(open_, level, owner), last), "simhash-edges")
+        here = made.where("not again").select("a", "b")
+        edges = here if edges is None else edges.unionAll(here)
+        if last or made.where("again").isEmpty():
+            break
+        open_ = made.where("again").select(F.col("a").alias("owner"), F.col("b").alias("fp"))
+        owner = F.col("owner")
+    return edges
 
 
 def classes(prints: DataFrame) -> DataFrame:

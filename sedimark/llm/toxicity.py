@@ -29,8 +29,8 @@ from sedimark.llm.labelled import training_texts
 from sedimark.llm.tables import crc_fold, stored
 from sedimark.llm.text import stretches
 
-# Labelled rows used to fit, and the most words and stems the model keeps.
-TRAIN_ROWS, KEPT_WORDS, KEPT_STEMS = 20_000, 50_000, 20_000
+# Labelled rows used to fit; their words bound the model.
+TRAIN_ROWS = 20_000
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 STEMS, DRIFT, CAP = (4, 5, 6, 7, 8), 0.5, 6.0
@@ -55,25 +55,25 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (start, end, score) of the whole sequence, end exclusive.
 
     Runs of words above zero are taken together, then each new run is merged into earlier candidates
-    while that raises their score; every candidate is looked at a bounded number of times.
+    while that raises their score. A candidate keeps a link to the nearest earlier one that begins from a lower running
+    total; the search for that of a new run jumps along the links, so every link is left behind at most once.
     """
     positive = scores > 0
     edges = np.flatnonzero(np.diff(np.concatenate(([False], positive, [False])).astype(np.int8)))
     total = np.concatenate(([0.0], np.cumsum(scores)))
-    found: list[tuple[int, int]] = []
+    totals = total.tolist()
+    found: list[tuple[int, int, int]] = []
     for start, end in edges.reshape(-1, 2).tolist():
-        left = start
-        while True:
-            # The nearest earlier candidate that begins from a lower running total.
-            at = len(found) - 1
-            while at >= 0 and total[found[at][0]] >= total[left]:
-                at -= 1
-            if at < 0 or total[found[at][1]] >= total[end]:
-                break
-            left = found[at][0]
+        left, at = start, len(found) - 1
+        while at >= 0 and totals[found[at][0]] >= totals[left]:
+            at = found[at][2]
+        while at >= 0 and totals[found[at][1]] < totals[end]:
+            # Merged into that candidate, the run begins where it does, and so has its link.
+            left, before = found[at][0], found[at][2]
             del found[at:]
-        found.append((left, end))
-    return [(a, b, float(total[b] - total[a])) for a, b in found]
+            at = before
+        found.append((left, end, at))
+    return [(a, b, totals[b] - totals[a]) for a, b, _ in found]
 
 
 class Scorer:
@@ -185,8 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: i
     stems = cut.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     stems = stored(_log_odds(stems, n1, n0), "toxicity-stems")
     sure = F.col("g") - EVIDENCE
-    top_stems = stems.where(sure > 0).orderBy(sure.desc(), "stem").limit(KEPT_STEMS)
-    stem_rows = top_stems.select("stem", "delta", "clean").collect()
+    stem_rows = stems.where(sure > 0).select("stem", "delta", "clean").collect()
     judged = _log_odds(words, n1, n0).withColumn("stem", stem)
     joined = judged.join(stems.select("stem", F.col("delta").alias("stem_delta"), F.col("g").alias("stem_g")), "stem", "left")
     seen = F.col("toxic") + F.col("clean")
@@ -194,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: i
     stem_sure = F.coalesce(F.col("stem_g") > EVIDENCE, F.lit(False))
     # Words that are toxic for sure, and words of a toxic stem, whose own counts may clear them.
     top_words = joined.where((sure > 0) | (stem_sure & (F.col("clean") > 0))).withColumn("mean", mean)
-    word_rows = top_words.orderBy(sure.desc(), "word").limit(KEPT_WORDS).select("word", "mean", "clean").collect()
+    word_rows = top_words.orderBy("word").select("word", "mean", "clean").collect()
 
     def points(value: float) -> float:
         return min(value, CAP) if value > 1.0 else -DRIFT

@@ -45,6 +45,56 @@ def test_edge_cases(documents, two_languages):
     assert not {500, 501, 502, 505} & {r.doc_id for r in kept.collect()}
 
 
+def test_prediction_equals_the_nearest_centroid(documents, two_languages):
+    """By brute force: the cosine with every centroid, from the definition of the vectors."""
+    docs = documents(*two_languages, (700, "thing où the les"), (701, "zz"))
+    model, letters = language.fit(docs), language.letter_table()
+    assert len(model.names) == 2 * language.CENTROIDS or set(model.names) == set(WORDS)
+    for r in language.identify(docs).collect():
+        text = next(t for d, t, *_ in [*two_languages, (700, "thing où the les"), (701, "zz")] if d == r.doc_id)
+        counts = language.ngram_counts(text, letters)
+        value = np.log1p(counts) * model.idf
+        value /= np.sqrt((value**2).sum())
+        cosines = [float((c.astype(float) * value).sum() / np.sqrt((c.astype(float) ** 2).sum())) for c in model.centroids]
+        assert abs(r.score - max(cosines)) < 1e-3
+        near = {n for n, c in zip(model.names, cosines, strict=True) if c > max(cosines) - 1e-5}
+        assert r.lang_pred in near
+        floor = model.floors[int(np.argmax(cosines))] * min(counts.sum() / language.SHORT, 1) ** 0.5
+        assert r.rejected == (max(cosines) < floor) or abs(max(cosines) - floor) < 1e-4
+
+
+def test_null_and_repeated_ids_in_the_sample(documents, monkeypatch):
+    """Rows without id take no places of the sample, and an id that repeats takes one."""
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 5)
+    rows = [(None, f"nothing {i}", "en") for i in range(300)] + [(7, f"the thing {i}", "en") for i in range(300)]
+    rows += [(10 + i, "other words and these", "en") for i in range(40)]
+    sample = language._sample(documents(*rows)).collect()
+    assert len(sample) == 5 and len({r.doc_id for r in sample}) == 5 and all(r.doc_id is not None for r in sample)
+    many = documents(*[(i, f"t{i}", "en" if i % 3 else "fr") for i in range(4_000)])
+    chosen = language._sample(many).groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in chosen} == {"en": 5, "fr": 5}
+
+
+def test_foreign_texts_of_the_same_script_are_rejected(spark):
+    """Languages that no row has, in Latin letters; short clean texts stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    foreign = [
+        (900_001, "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.", None),
+        (900_002, "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.", None),
+        (900_003, "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności.", None),
+        (900_004, "Minden emberi lény szabadon születik és egyenlő méltósága és joga van.", None),
+    ]
+    more = spark.createDataFrame([(d, t, lang, None, None) for d, t, lang in foreign], docs.schema)
+    got = {r.doc_id: r for r in language.identify(docs.unionByName(more)).collect()}
+    assert all(got[d].rejected for d, *_ in foreign)
+    # Invented prose of the learned languages, whole and cut short.
+    clean = docs.where("lang IS NOT NULL AND length(text) BETWEEN 200 AND 4000").limit(100).collect()
+    short = [(800_000 + i, r.text[:60].rsplit(" ", 1)[0], None, None, None) for i, r in enumerate(clean)]
+    again = {r.doc_id: r for r in language.identify(docs.unionByName(spark.createDataFrame(short, docs.schema))).collect()}
+    assert sum(again[r.doc_id].rejected for r in clean) == 0
+    assert sum(again[d].rejected for d, *_ in short) <= 2
+
+
 def test_without_languages_or_rows(documents):
     assert language.identify(documents()).count() == 0
     assert [r.lang_pred for r in language.identify(documents((1, "some text"))).collect()] == ["und"]

@@ -55,6 +55,18 @@ def test_edge_cases(documents, labels):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_labelled_documents_of_very_many_lines(documents, labels, monkeypatch):
+    """They do not pass through the driver: the sample is bounded by lines as well."""
+    monkeypatch.setattr(quality, "TRAIN_LINES", 200)
+    good, bad = "The river was low, and the stones were dry.\nThey walked on until noon.", "BUY!! NOW!! CHEAP!!\n### $$$ ###"
+    rows = [(i, good if i % 2 else bad) for i in range(60)] + [(100, f"{good}\n" * 150_000), (101, f"{bad}\n" * 3_000)]
+    seen, real = [], quality._learn
+    monkeypatch.setattr(quality, "_learn", lambda f, y: seen.append(sum(map(len, f))) or real(f, y))
+    got = quality.score(documents(*rows), labels(*[(i, i % 2, None) for i in range(60)], (100, 1, None), (101, 0, None))).collect()
+    assert seen and 50 < seen[0] <= 200
+    assert all(r.predicted == r.doc_id % 2 for r in got if r.doc_id < 100)
+
+
 def test_without_labels_or_rows(documents, labels):
     assert quality.score(documents(), labels((1, 1, 1))).count() == 0
     got = quality.score(documents((1, "a line"), (2, None)), labels()).collect()

@@ -38,7 +38,7 @@ def test_spark_hash_is_the_same_hash(spark):
     assert got & (2**64 - 1) == xxhash.xxh64_intdigest(b"a b c d", 42)
 
 
-@pytest.mark.parametrize("level", [1, 2])
+@pytest.mark.parametrize("level", [1, 2, 3, 4])
 def test_masks_cover_every_pair_within_the_radius(level):
     rng = random.Random(level)
     masks = simhash.masks(level)
@@ -68,6 +68,40 @@ def test_large_buckets_are_dealt_again(spark, monkeypatch):
     assert [roots.get(v, v) for v in values.tolist()] == want.tolist()
 
 
+def test_all_covers_together_bound_a_bucket():
+    """One mask of each cover fixes so many bits that the last bucket has no more values than one comparison takes."""
+    fixed = np.zeros(1, np.uint64)
+    for level in range(1, len(simhash._COVERS) + 1):
+        fixed = np.unique(fixed[:, None] | np.array(simhash.masks(level), np.uint64)[None, :])
+    assert 2 ** (64 - int(np.bitwise_count(fixed).min())) <= simhash.BUCKET
+
+
+def test_a_bucket_of_two_covers_is_dealt_a_third_time(spark, monkeypatch):
+    """Values that agree wherever a mask of the first and one of the second cover look."""
+    monkeypatch.setattr(simhash, "BUCKET", 64)
+    unions = [(a | b).bit_count() for a in simhash.masks(1) for b in simhash.masks(2)]
+    assert min(unions) == 41
+    a, b = next((a, b) for a in simhash.masks(1) for b in simhash.masks(2) if (a | b).bit_count() == 41)
+    free = [i for i in range(64) if not (a | b) >> i & 1]
+    rng = random.Random(6)
+    prints = sorted({sum(1 << i for i in free if rng.random() < 0.5) for _ in range(1_500)})
+    dealt, real = [], simhash._dealt
+    monkeypatch.setattr(simhash, "_dealt", lambda p, level, owner=None: dealt.append(level) or real(p, level, owner))
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    edges = simhash.near_edges(spark.createDataFrame(signed, "fp bigint"))
+    roots = {r.node: r.root for r in connected(edges).collect()}
+    values = np.array([s[0] for s in signed])
+    assert [roots.get(v, v) for v in values.tolist()] == components(values, values.view(np.uint64)).tolist()
+    assert dealt == [1, 2, 3]
+
+
+def test_dense_values_join_like_sparse_ones():
+    values = np.unique(np.array([sum(1 << i for i in c) for c in __import__("itertools").combinations(range(20), 3)], np.uint64))
+    forest = simhash.Forest()
+    simhash.linked_in(values, forest)
+    assert len(forest.links()) == len(values) - 1
+
+
 def test_edge_cases(documents, spark):
     long = "alpha beta gamma delta epsilon " * 3000
     docs = documents((5, None), (3, ""), (9, long), (9, long), (7, long + "zeta"), (None, long), (2, "other words here entirely"), extra=True)

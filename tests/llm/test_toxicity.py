@@ -25,9 +25,39 @@ def test_all_maximal_segments(seed):
     assert [(a, b) for a, b, _ in toxicity.segments(scores)] == maximal(scores)
 
 
-def test_long_scan_is_linear():
-    scores = np.random.default_rng(0).choice([2.0, -0.5], 400_000, p=[0.1, 0.9])
-    assert len(toxicity.segments(scores)) > 1000
+def steps_of(scores):
+    """Lines run by the scan."""
+    import sys
+
+    count = 0
+
+    def trace(frame, event, arg):
+        nonlocal count
+        if frame.f_code is not toxicity.segments.__code__:
+            return None
+        count += event == "line"
+        return trace
+
+    sys.settrace(trace)
+    try:
+        toxicity.segments(scores)
+    finally:
+        sys.settrace(None)
+    return count
+
+
+@pytest.mark.parametrize(
+    "piece", [[1.0, -2.0], [2.0, -1.0], [1.0, -1.0], [3.0, -1.0, 1.0, -4.0], [1.0, -3.0, 2.0, -1.0, 2.0, -1.5]],
+)
+def test_scan_steps_grow_in_proportion(piece):
+    """Falling, rising and level running totals: twice the runs, twice the steps."""
+    few, many = (steps_of(np.array(piece * n)) for n in (500, 4_000))
+    assert many < 9 * few
+
+
+def test_scan_of_random_texts_is_linear():
+    scores = np.random.default_rng(0).choice([2.0, -0.5], 40_000, p=[0.1, 0.9])
+    assert len(toxicity.segments(scores)) > 100 and steps_of(scores) < 12 * steps_of(scores[:4_000])
 
 
 def test_held_out_rows(spark):
