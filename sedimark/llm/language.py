@@ -119,7 +119,8 @@ def _sample(known: DataFrame) -> DataFrame:
     ids = known.where(F.col("doc_id").isNotNull()).select("lang", "doc_id", place.alias("place"))
     sizes = ids.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
     near = F.conv(F.substring("place", 1, 12), 16, 10).cast("double") * F.col("n") < 3 * SAMPLE_ROWS * 16.0**12
-    few = ids.join(sizes, "lang").where(near | (F.col("n") <= 3 * SAMPLE_ROWS)).select("lang", "doc_id", "place").distinct()
+    # A row per language, as the model has.
+    few = ids.join(F.broadcast(sizes), "lang").where(near | (F.col("n") <= 3 * SAMPLE_ROWS)).select("lang", "doc_id", "place").distinct()
     ranked = Window.partitionBy("lang").orderBy("place", "doc_id")
     chosen = few.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= SAMPLE_ROWS)
     chosen = stored(chosen.select("lang", "doc_id"), "language-sample")
