@@ -248,6 +248,11 @@ BODIES = {
     "snapshot_redelivered": """SELECT situation_date, count(*) AS rows, count(DISTINCT id) AS ids,
           count(*) FILTER (situation_date = DATE '2025-01-02') AS changed
         FROM incidents_bronze WHERE situation_date <> DATE '2025-01-02' OR id % 3 = 0 GROUP BY situation_date""",
+    "page_far": """SELECT id, start_time, distance_mi FROM incidents_silver
+        ORDER BY distance_mi DESC, id LIMIT 500 OFFSET 500""",
+    "box_scan": """SELECT id, start_lat, start_lng, start_time, severity FROM incidents_silver
+        WHERE start_lat BETWEEN 30 AND 36 AND start_lng BETWEEN -110 AND -95
+          AND start_time >= '2024-01-05' AND start_time < '2024-01-25'""",
     "snapshot_evolved": """SELECT id, copy_no,
           CASE WHEN situation_date = DATE '2025-01-03' THEN severity + 0.5E0 ELSE severity::DOUBLE END AS severity,
           CASE WHEN situation_date = DATE '2025-01-02' THEN NULL ELSE city END AS city, junction::VARCHAR AS junction,

@@ -14,6 +14,7 @@ from sedimark.operators.validity import all_in_range, all_present, require, with
 from sedimark.profile import RecordProfile
 
 Dedup = Callable[[DataFrame, str, Sequence[str]], DataFrame]
+Watch = Callable[[str, DataFrame], DataFrame]
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -38,31 +39,36 @@ def _leading_order(profile: RecordProfile) -> tuple[str, ...]:
     return (*profile.tie_break, *[c for c in profile.ranges if c not in profile.tie_break])
 
 
-def ranked_rows(df: DataFrame, profile: RecordProfile) -> tuple[DataFrame, RecordProfile, Sequence[str]]:
+def ranked_rows(
+    df: DataFrame, profile: RecordProfile, watch: Watch = lambda _, rows: rows
+) -> tuple[DataFrame, RecordProfile, Sequence[str]]:
     """The rows that compete for their key, filled; the rules that hold for them; the order that decides."""
     named = tidy_names(df)
     rules = profile.bound_to(named.columns)
-    present = require(named, rules.required)
+    present = watch("required_rows", require(named, rules.required))
     filled = fill_defaults(fill_from_column(present, rules.fallbacks), rules.defaults)
     order = _leading_order(rules)
     return filled, rules, order if rules.tie_break_is_total else settle_ties(filled, rules.key, order)
 
 
-def clean(df: DataFrame, profile: RecordProfile, dedup: Dedup = keep_first, strict: bool = False) -> DataFrame:
+def clean(
+    df: DataFrame, profile: RecordProfile, dedup: Dedup = keep_first, strict: bool = False, watch: Watch = lambda _, rows: rows
+) -> DataFrame:
     """Rename, require, fill, deduplicate, normalise, cast, check ranges; in this order.
 
     Casts come before the range checks, so text that is no number costs its own row only.
 
     Deduplication precedes the range checks: a bad row that is first of its key removes its good
-    copies. `strict` makes a rule for a column the frame lacks an error.
+    copies. `strict` makes a rule for a column the frame lacks an error. `watch` is given the rows after each step, under
+    the name that the quality report has for their number, and returns what goes on.
     """
     if strict:
         wanted = {*profile.defaults, *profile.fallbacks, *profile.uppercase}
         absent = sorted(wanted - set(tidy_names(df).columns))
         if absent:
             raise ValueError(f"profile columns are missing: {absent}")
-    filled, rules, order = ranked_rows(df, profile)
-    single = dedup(filled, rules.key, order)
+    filled, rules, order = ranked_rows(df, profile, watch)
+    single = watch("distinct_rows", dedup(filled, rules.key, order))
     typed = cast_columns(normalize_columns(single, rules.uppercase), dict(rules.types))
     return within(typed, rules.ranges)
 

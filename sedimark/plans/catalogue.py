@@ -22,6 +22,7 @@ from sedimark.operators import snapshots
 from sedimark.operators.cleaning import cast_columns, clean, quality_report
 from sedimark.operators.dedup import keep_first, keep_first_sparse
 from sedimark.operators.filling import fill_defaults, fill_from_column
+from sedimark.operators.page_index import indexed, version_of
 from sedimark.operators.paging import page_of
 from sedimark.operators.sampling import bounded_sample, train_test
 from sedimark.operators.validity import require, within
@@ -29,6 +30,7 @@ from sedimark.plans import daily, jobs, marts
 from sedimark.plans.serving import SERVED, open_marts
 from sedimark.session import fresh_path
 from sedimark.sources import catalog, files, history, sinks
+from sedimark.sources.clustered import BY_PLACE_AND_TIME, in_box, write_clustered
 from sedimark.sources.fixtures import PROFILE, incidents_bronze, incidents_silver
 from sedimark.sources.layout import Layout
 from sedimark.streaming.landing import ingest_arrivals
@@ -341,11 +343,31 @@ def page_info(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def page_deep(spark: SparkSession, folder: str) -> DataFrame:
-    """A page cut by counting sorted ranges instead of a top-k."""
+    """A far page, by an index written once: a second one reads its ranges only."""
+    path = fresh_path(spark, "served")
+    sinks.write_parquet(incidents_silver(spark, folder).select("id", "start_time", "distance_mi"), path)
+    rows, order = files.read_parquet(spark, path), ["distance_mi DESC", "id"]
+    place, version = fresh_path(spark, "pages"), version_of(rows)
+    indexed(rows, place, version, order, range_rows=400)
+    return indexed(rows, place, version, order).page(page=2, size=500)
+
+
+@query()
+def page_far(spark: SparkSession, folder: str) -> DataFrame:
+    """A far page without an index, cut by counting sorted ranges instead of a top-k."""
     rows = incidents_silver(spark, folder).select("id", "start_time", "distance_mi")
     return page_of(rows, ["distance_mi DESC", "id"], page=2, size=500, top_rows=0)
 
 
+@query()
+def box_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of a box of place and time, from files that lie along a curve through both."""
+    path = fresh_path(spark, "clustered")
+    write_clustered(incidents_silver(spark, folder), path, replace(BY_PLACE_AND_TIME, group_bytes=1 << 18))
+    box = {"start_lat": (30.0, 36.0), "start_lng": (-110.0, -95.0)}
+    return in_box(files.read_parquet(spark, path), box, ("2024-01-05", "2024-01-25")).select("id", "start_lat", "start_lng", "start_time", "severity")
+
+
 # --- sinks and catalog ---------------------------------------------------------------------------
 
 

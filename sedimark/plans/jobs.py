@@ -8,7 +8,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimark.functions import tidy_name, tidy_names
@@ -55,6 +56,33 @@ class Settings:
     ml_fallback: str | None = None
 
 
+class Tally:
+    """Counts the rows between the steps of cleaning while they pass."""
+
+    def __init__(self) -> None:
+        self.seen: dict[str, Observation] = {}
+
+    def lines(self, rows: DataFrame) -> DataFrame:
+        bad = F.count_if(F.col(files.CORRUPT).isNotNull()) if files.CORRUPT in rows.columns else F.lit(0).cast("bigint")
+        counts = [F.count(F.lit(1)).alias("rows"), (bad if files.CORRUPT in rows.columns else F.sum(bad)).alias("corrupt")]
+        return rows.observe(self.seen.setdefault("initial_rows", Observation()), *counts)
+
+    def watch(self, step: str, rows: DataFrame) -> DataFrame:
+        return rows.observe(self.seen.setdefault(step, Observation()), F.count(F.lit(1)).alias("rows"))
+
+    def figures(self, final: int) -> dict[str, Any]:
+        """The quality report's figures, and the number of corrupt lines."""
+        seen = {step: sinks.observed(o) for step, o in self.seen.items()}
+        initial, required, distinct = (int(seen[s].get("rows", 0)) for s in ("initial_rows", "required_rows", "distinct_rows"))
+        removed = initial - final
+        return {
+            "initial_rows": initial, "required_rows": required, "distinct_rows": distinct, "final_rows": final,
+            "duplicate_rows": required - distinct, "removed_rows": removed,
+            "removed_percent": removed * 100.0 / initial if initial else 0.0,
+            "corrupt_lines": int(seen["initial_rows"].get("corrupt") or 0),
+        }
+
+
 def ingest(spark: SparkSession, settings: Settings) -> None:
     """Source CSV to dated Bronze partitions, in one pass.
 
@@ -71,13 +99,16 @@ def refine(spark: SparkSession, settings: Settings, as_of: str | None = None) ->
     """Bronze snapshot to the cleaned Silver table; returns the quality report and the number of corrupt lines.
 
     Silver is written to a new folder, then the table is switched to it. The folder it showed before stays until the
-    next run, for readers that are at work; a failed write leaves the table as it was.
+    next run, for readers that are at work; a failed write leaves the table as it was. The figures are taken by the tasks
+    that clean and write, in one pass over Bronze.
     """
     layout = settings.layout
-    bronze, corrupt = files.split_corrupt(snapshots.snapshot(history.scan(spark, layout.bronze), as_of))
-    silver = clean(bronze, settings.profile)
+    lines = snapshots.snapshot(history.scan(spark, layout.bronze), as_of)
+    tally = Tally()
+    bronze, _ = files.split_corrupt(tally.lines(lines))
+    silver = clean(bronze, settings.profile, watch=tally.watch)
     path = layout.silver_version(uuid.uuid4().hex)
-    sinks.write_parquet(silver, path)
+    written = sinks.write_parquet(silver, path)
     database, dot, _ = settings.table.rpartition(".")
     if dot:
         catalog.create_database(spark, database)
@@ -86,8 +117,13 @@ def refine(spark: SparkSession, settings: Settings, as_of: str | None = None) ->
     for older in list_folders(spark, layout.silver):
         if older.rsplit("/", 1)[-1] not in (path.rsplit("/", 1)[-1], before.rsplit("/", 1)[-1]):
             delete_path(spark, older)
-    report = quality_report(bronze, settings.profile).first().asDict()
-    return {**report, "corrupt_lines": corrupt.count()}
+    figures = tally.figures(written)
+    # Tasks that ran again after a loss of executors are counted twice; the stored number of lines, which the files'
+    # footers hold, tells. The figures are then taken by a query.
+    if figures["initial_rows"] != lines.count():
+        plain, corrupt = files.split_corrupt(lines)
+        figures = {**quality_report(plain, settings.profile).first().asDict(), "corrupt_lines": corrupt.count()}
+    return figures
 
 
 def learning_rows(silver: DataFrame, profile: RecordProfile) -> DataFrame:

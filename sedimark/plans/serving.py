@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimark.operators.page_index import PageIndex, indexed, version_of
 from sedimark.operators.paging import page_of, page_totals
 from sedimark.session import path_exists
 from sedimark.sources.files import read_parquet
@@ -45,6 +46,15 @@ class Served:
     def totals(self, mart: DataFrame, page: int = 1, size: int | None = None, **filters: str) -> DataFrame:
         return page_totals(self.rows(mart, filters), page, self._size(size))
 
+    def index(self, spark: SparkSession, layout: Layout, fallback: str | None = None) -> PageIndex:
+        """The page index of the mart as it is now written; built by the first call after the mart was."""
+        mart = self.rows(read_parquet(spark, mart_path(spark, layout, self.mart, fallback)))
+        return indexed(mart, layout.page_index(self.mart), version_of(mart), self.order)
+
+    def far_page(self, spark: SparkSession, layout: Layout, page: int, size: int | None = None) -> DataFrame:
+        """As `page` without filters, by the mart's index: any page costs one or two of its ranges."""
+        return self.index(spark, layout).page(page, self._size(size), self.max_size)
+
     def _size(self, size: int | None) -> int:
         return self.default_size if size is None else size
 

@@ -51,6 +51,10 @@ class Layout:
     def gold(self, mart: str) -> str:
         return self._under("gold", mart)
 
+    def page_index(self, mart: str) -> str:
+        """The pages of a mart, written once per version of it."""
+        return self._under("pages", mart)
+
     def export(self, mart: str) -> str:
         return self._under("exports", mart)
 

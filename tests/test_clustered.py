@@ -1,0 +1,101 @@
+from dataclasses import replace
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from sedimark.functions.curve import interleaved, scaled
+from sedimark.sources.clustered import BY_PLACE, BY_PLACE_AND_TIME, in_box, write_clustered
+
+GROUP = 1 << 14
+
+
+def plain_interleaved(numbers, bits):
+    made = 0
+    for b in reversed(range(bits)):
+        for n in numbers:
+            made = made << 1 | n >> b & 1
+    return made
+
+
+@pytest.mark.parametrize(("columns", "bits"), [(1, 20), (2, 16), (2, 31), (3, 16), (3, 20), (4, 15), (5, 12)])
+def test_digits_are_interleaved(spark, columns, bits):
+    top = (1 << bits) - 1
+    rows = [tuple((i * 2654435761 + c * 40503 + i * i * 97) & top for c in range(columns)) for i in range(60)]
+    rows += [(0,) * columns, (top,) * columns]
+    names = [f"c{c}" for c in range(columns)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} bigint" for n in names))
+    got = df.select(*names, interleaved([F.col(n) for n in names], bits).alias("key")).collect()
+    assert all(r.key == plain_interleaved(r[:columns], bits) for r in got)
+
+
+def test_too_many_digits():
+    with pytest.raises(ValueError, match="bigint"):
+        interleaved([F.lit(1)] * 4, 16)
+
+
+def test_places_between_bounds(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (-5.0,), (0.0,), (5.0,), (10.0,), (99.0,)], "v double")
+    assert [r[0] for r in df.select(scaled(F.col("v"), 0, 10, 8)).collect()] == [0, 0, 0, 0, 127, 255, 255]
+
+
+@pytest.fixture(scope="module")
+def records(spark):
+    """Places and times over the whole range, in no order."""
+    unit = [(F.xxhash64(F.lit(k), "id") % 1_000_003 + 1_000_003) % 1_000_003 / 1_000_003.0 for k in range(3)]
+    return spark.range(60_000).select(
+        "id", (24 + 26 * unit[0]).alias("start_lat"), (-130 + 65 * unit[1]).alias("start_lng"),
+        F.timestamp_seconds(1_577_836_800 + (unit[2] * 126_000_000).cast("bigint")).alias("start_time"),
+        F.sha2(F.col("id").cast("string"), 256).alias("rest"),
+    ).persist()
+
+
+def groups(path):
+    """(bytes, statistics) of every row group."""
+    for file in Path(path).glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            stats = {group.column(c).path_in_schema: group.column(c).statistics for c in range(group.num_columns)}
+            yield group.total_byte_size, stats
+
+
+def read_share(path, box):
+    """The share of bytes in row groups that the statistics do not rule out."""
+    every = list(groups(path))
+    met = [n for n, stats in every if all(stats[c].min <= high and stats[c].max >= low for c, (low, high) in box.items())]
+    return sum(met) / sum(n for n, _ in every)
+
+
+@pytest.mark.parametrize("by", [BY_PLACE, BY_PLACE_AND_TIME])
+def test_a_small_box_reads_a_small_part(spark, records, tmp_path, by, plan):
+    path, plain = str(tmp_path / "clustered"), str(tmp_path / "plain")
+    write_clustered(records, path, replace(by, group_bytes=GROUP))
+    records.repartition(8).write.option("parquet.block.size", GROUP).parquet(plain)
+    stored = spark.read.parquet(path)
+    assert stored.columns == records.columns and stored.count() == 60_000
+    box = {"start_lat": (36.0, 37.0), "start_lng": (-100.0, -99.0)}
+    found, want = in_box(stored, box), in_box(records, box)
+    assert found.exceptAll(want).count() == 0 and found.count() == want.count() > 0
+    assert read_share(path, box) < 0.1 < 0.9 < read_share(plain, box)
+    text = plan(found.select("id"))
+    # The box reaches the reader, which judges row groups by it.
+    assert "GreaterThanOrEqual(start_lat,36.0)" in text and "LessThanOrEqual(" in text.split("PushedFilters")[1]
+
+
+def test_times_are_clustered_too(spark, records, tmp_path):
+    path = str(tmp_path / "clustered")
+    write_clustered(records, path, replace(BY_PLACE_AND_TIME, columns={**BY_PLACE_AND_TIME.columns, "start_time": ("2020-01-01", "2024-01-01")}, group_bytes=GROUP))
+    found = in_box(spark.read.parquet(path), {"start_lat": (30.0, 36.0)}, ("2021-01-01", "2021-02-01"))
+    want = records.where("start_lat BETWEEN 30 AND 36 AND start_time >= '2021-01-01' AND start_time < '2021-02-01'")
+    assert found.count() == want.count() > 0 and found.exceptAll(want).count() == 0
+
+
+def test_records_of_one_point_and_without_place(spark, tmp_path):
+    path = str(tmp_path / "clustered")
+    rows = spark.range(2_000).select("id", F.when(F.col("id") % 10 > 0, F.lit(30.0)).alias("start_lat"), F.lit(-100.0).alias("start_lng"))
+    write_clustered(rows, path, BY_PLACE, files=4)
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in Path(path).glob("*.parquet")]
+    assert sum(sizes) == 2_000 and max(sizes) < 1_000
+    assert in_box(spark.read.parquet(path), {"start_lat": (29.0, 31.0)}).count() == 1_800
