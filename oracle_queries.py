@@ -248,6 +248,8 @@ BODIES = {
     "snapshot_redelivered": """SELECT situation_date, count(*) AS rows, count(DISTINCT id) AS ids,
           count(*) FILTER (situation_date = DATE '2025-01-02') AS changed
         FROM incidents_bronze WHERE situation_date <> DATE '2025-01-02' OR id % 3 = 0 GROUP BY situation_date""",
+    "csv_line_breaks_whole": """SELECT id, copy_no, nullif(concat_ws(chr(10), state, city, weather_condition), '') AS lines
+        FROM incidents_bronze""",
     "page_far": """SELECT id, start_time, distance_mi FROM incidents_silver
         ORDER BY distance_mi DESC, id LIMIT 500 OFFSET 500""",
     "box_scan": """SELECT id, start_lat, start_lng, start_time, severity FROM incidents_silver

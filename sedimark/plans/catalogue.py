@@ -31,6 +31,7 @@ from sedimark.plans.serving import SERVED, open_marts
 from sedimark.session import fresh_path
 from sedimark.sources import catalog, files, history, sinks
 from sedimark.sources.clustered import BY_PLACE_AND_TIME, in_box, write_clustered
+from sedimark.sources.csv_records import read_csv_records
 from sedimark.sources.fixtures import PROFILE, incidents_bronze, incidents_silver
 from sedimark.sources.layout import Layout
 from sedimark.streaming.landing import ingest_arrivals
@@ -668,7 +669,18 @@ def cast_long_numbers(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def csv_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
-    """Text with line breaks, written as CSV and read back."""
+    """Text with line breaks, written as one CSV file and read back, each split of the file by itself."""
+    broken = F.concat_ws("\n", "state", "city", "weather_condition")
+    rows = incidents_bronze(spark, folder).select("id", "copy_no", broken.alias("lines"))
+    path = fresh_path(spark, "lines")
+    sinks.write_csv(rows, path, files=1)
+    back, _ = files.split_corrupt(read_csv_records(spark, path, rows.schema))
+    return back
+
+
+@query()
+def csv_line_breaks_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, each file read by one task."""
     broken = F.concat_ws("\n", "state", "city", "weather_condition")
     rows = incidents_bronze(spark, folder).select("id", "copy_no", broken.alias("lines"))
     path = fresh_path(spark, "lines")

@@ -25,7 +25,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
     With a schema, text that does not parse becomes null and the whole line is kept in
     `_corrupt_record`; see `split_corrupt`. `multi_line` reads values that contain line breaks; a file is then
-    read by one task.
+    read by one task, other than by `csv_records.read_csv_records`.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line)
     if schema is None:
