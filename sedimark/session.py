@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -46,7 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if named:
         return named
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="sedimark-"))
     return context.getCheckpointDir()

@@ -9,8 +9,6 @@ import __spark_entry__ as contract
 
 SQL = contract.oracle_sql()
 QUERIES = contract.queries()
-# These run for long; the driver's check and the job tests cover them.
-SLOW = {"pipeline_silver", "pipeline_state_stats", "run_figures", "job_marts"}
 
 
 def test_every_statement_has_a_query():
@@ -31,6 +29,6 @@ def test_entry_returns_states(spark):
     assert rows.count() == 7
 
 
-@pytest.mark.parametrize("name", sorted(set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, small, name):
     assert differences(QUERIES[name](spark, small), connect(small), SQL[name]) == []
