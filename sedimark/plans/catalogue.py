@@ -571,6 +571,20 @@ def severity_test_figures(spark: SparkSession, folder: str) -> DataFrame:
     return severity_accuracy(spark, folder).select("test_rows", F.round("majority_share", 6).alias("majority_share"), bounded.alias("bounded"))
 
 
+@query()
+def accuracy_recomputed(spark: SparkSession, folder: str) -> DataFrame:
+    """The reported accuracy, which every row carries, against the share of right predictions among the rows."""
+    right = F.avg((F.col("prediction") == F.col("severity")).cast("double"))
+    same = F.abs(right - F.max("accuracy")) < 1e-9
+    return severity_predictions(spark, folder).agg(F.count(F.lit(1)).alias("test_rows"), same.alias("same"))
+
+
+@query()
+def importance_planted(spark: SparkSession, folder: str) -> DataFrame:
+    """The input that the fixture derives severity from is the most important one."""
+    return severity.feature_importance(_learned(spark, folder).severity, top=1).select("feature")
+
+
 @query()
 def prediction_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Label and place of every predicted row; the prediction is one of the labels."""
