@@ -2,16 +2,18 @@
 
 The vocabulary of a public piece model (byte-pair merges ranked by score, byte fallback) is used with an own
 agenda: among all neighbouring symbols whose concatenation is a piece, the best one merges first, leftmost
-first among equals. A candidate merge is skipped when a keyed hash of the word, its variant and the merge's
-place falls below the dropout rate; it never comes back, while merges around it go on. Each occurrence of a
-word draws its variant from the document and its place, so a word is split in several ways, alike in every
-run. Without dropout the ids are those of the model's own encoder.
+first among equals. A candidate merge is skipped when a keyed hash of the document, the word's place in it
+and the merge's place in the word falls below the dropout rate; it never comes back, while merges around it
+go on. So every occurrence of a word has draws of its own, alike in every run. The ids of a word without a
+skip are remembered with the merges judged on the way; an occurrence that skips none of those has these ids,
+any other goes through the agenda itself. Without dropout the ids are those of the model's own encoder.
 
 A literal U+2581, which the model uses for the space, is written by its bytes, so decoding is lossless.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections.abc import Iterator, Sequence
@@ -25,14 +27,16 @@ from pyspark.sql import DataFrame
 
 from sedimark.llm.text import Numbers
 
-DROPOUT, SEED, VARIANTS = 0.1, 42, 4
+DROPOUT, SEED = 0.1, 42
 MARK = "▁"
 # A unit is what merges cannot cross: a run of spaces with the letters after it, or a control character.
 _UNIT = re.compile(r" +[^ \x00-\x1f▁]*|[^ \x00-\x1f▁]+|[\x00-\x1f▁]")
 _KEPT_UNITS = 400_000
-_NONE = np.int64(1) << 40
+_NONE = np.int32(2**31 - 1)
 # Units longer than this are merged one by one with their own agenda, not padded into a block.
 _LONG = 64
+# Occurrences and units that are merged, or whose draws are made, at once.
+_ROWS = 20_000
 
 
 def default_model() -> str:
@@ -47,7 +51,9 @@ class Vocabulary:
     byte_ids: list[int]  # id of each fallback byte
     table: np.ndarray  # open-addressed: left * size + right -> slot
     merged: np.ndarray  # id of the concatenation, per slot
+    pairs: dict[int, int]  # the same without slots, for one pair at a time
     rank: np.ndarray  # place in the order of merges, per id
+    by_rank: np.ndarray  # id per place
     size: int
     content: list[bytes]  # text of each id
 
@@ -77,7 +83,7 @@ def vocabulary(path: str) -> Vocabulary:
             content[i] = piece.replace(MARK, " ").encode()
     order = sorted(plain.values(), key=lambda i: -model.get_score(i))
     rank = np.full(size, _NONE)
-    rank[order] = np.arange(len(order))
+    rank[order] = np.arange(len(order), dtype=np.int32)
     pairs = [
         (plain[p[:k]] * size + plain[p[k:]], i)
         for p, i in plain.items()
@@ -90,17 +96,17 @@ def vocabulary(path: str) -> Vocabulary:
         while table[at] >= 0:
             at = (at + 1) % (1 << _WIDTH)
         table[at], merged[at] = key, i
-    letters = np.full(0x110000, -1, np.int64)
+    letters = np.full(0x110000, -1, np.int32)
     for p, i in plain.items():
         if len(p) == 1:
             letters[ord(p)] = i
     letters[ord(" ")], letters[ord(MARK)] = letters[ord(MARK)], -1
-    return Vocabulary(letters, byte_ids, table, merged, rank, size, content)
+    return Vocabulary(letters, byte_ids, table, merged, dict(pairs), rank, np.array(order, np.int32), size, content)
 
 
 def _concatenations(v: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Id of the piece that both symbols make, or -1."""
-    keys = np.where((left >= 0) & (right >= 0), left * v.size + right, -2)
+    keys = np.where((left >= 0) & (right >= 0), left.astype(np.int64) * v.size + right, -2)
     at = _slot(keys, _WIDTH)
     found = np.full(keys.shape, -1, np.int64)
     open_ = np.arange(keys.size)
@@ -115,7 +121,7 @@ def _concatenations(v: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.nd
 
 
 def _keyed(words: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A uniform 64-bit value per candidate merge, from the word's key and the merge's place."""
+    """A uniform 64-bit value per candidate merge, from the occurrence's key and the merge's place."""
     x = words + start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x ^= middle.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + end.astype(np.uint64) * np.uint64(0x165667B19E3779F9)
     for _ in range(2):
@@ -123,82 +129,105 @@ def _keyed(words: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.nda
     return x ^ (x >> np.uint64(29))
 
 
+_BITS = 2**64 - 1
+
+
+def _keyed_one(word: int, start: int, middle: int, end: int) -> int:
+    """`_keyed` for a single candidate."""
+    x = (word + start * 0x9E3779B97F4A7C15) & _BITS
+    x ^= (middle * 0xC2B2AE3D27D4EB4F + end * 0x165667B19E3779F9) & _BITS
+    for _ in range(2):
+        x = ((x ^ (x >> 31)) * 0xBF58476D1CE4E5B9) & _BITS
+    return x ^ (x >> 29)
+
+
+def _limit(dropout: float) -> int:
+    return min(int(dropout * 2.0**64), _BITS)
+
+
 def _merge_block(
-    v: Vocabulary, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray, dropout: float
+    v: Vocabulary, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray, dropout: float, judged: list | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """The agenda for many units at once: each round does the best open merge of every unit.
 
-    `symbols` is padded with -1; returns the symbols left, padded, and their number per unit. A merge's place is given by the characters where it starts, divides and
-    ends, so the decision to skip it does not depend on the order in which it is met.
+    `symbols` is padded with -1; returns the symbols left, padded, and their number per unit. A merge's place is
+    given by the characters where it starts, divides and ends, so the decision to skip it does not depend on the
+    order in which it is met. `judged` takes the rows and packed places of all candidates met.
     """
-    limit = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
+    limit = np.uint64(_limit(dropout))
     count = lengths.copy()
-    starts = np.tile(np.arange(symbols.shape[1] + 1), (len(symbols), 1))
-    left, left_count = np.full(symbols.shape, -1, np.int64), np.zeros(len(symbols), np.int64)
+    starts = np.tile(np.arange(symbols.shape[1] + 1, dtype=np.int32), (len(symbols), 1))
+    left, left_count = np.full(symbols.shape, -1, np.int32), np.zeros(len(symbols), np.int64)
     rows = np.arange(len(symbols))
-    joined = np.full(symbols.shape, -1, np.int64)
+    # Per gap the rank of the merge that closes it, _NONE when there is none or it is skipped.
+    ranks = np.full(symbols.shape, _NONE)
 
     def judge(r: np.ndarray, c: np.ndarray) -> None:
-        """Fill `joined` at the given gaps: the merged id, or -1 when there is none or it is skipped."""
         made = _concatenations(v, symbols[r, c], symbols[r, c + 1])
+        ranks[r, c] = _NONE
         at = np.flatnonzero(made >= 0)
-        if dropout > 0 and len(at):
-            rr, cc = r[at], c[at]
-            drawn = _keyed(keys[rr], starts[rr, cc], starts[rr, cc + 1], starts[rr, cc + 2])
-            made[at[drawn < limit]] = -1
-        joined[r, c] = made
+        r, c, made = r[at], c[at], made[at]
+        if judged is not None:
+            judged.append((rows[r], starts[r, c] << 16 | starts[r, c + 1] << 8 | starts[r, c + 2]))
+        if dropout > 0:
+            kept = _keyed(keys[r], starts[r, c], starts[r, c + 1], starts[r, c + 2]) >= limit
+            r, c, made = r[kept], c[kept], made[kept]
+        ranks[r, c] = v.rank[made]
 
     if symbols.shape[1] > 1:
         judge(*np.nonzero(np.arange(symbols.shape[1] - 1) < (count - 1)[:, None]))
     while len(rows):
-        ranks = np.where(joined >= 0, v.rank[joined], _NONE)
         best = ranks.argmin(axis=1)
-        going = ranks[np.arange(len(rows)), best] < _NONE
-        left[rows[~going], : symbols.shape[1]] = symbols[~going]
-        left_count[rows[~going]] = count[~going]
-        rows, symbols, starts, joined = rows[going], symbols[going], starts[going], joined[going]
-        keys, count, best = keys[going], count[going], best[going]
+        first = ranks[np.arange(len(rows)), best]
+        going = first < _NONE
+        if not going.all():
+            left[rows[~going], : symbols.shape[1]] = symbols[~going]
+            left_count[rows[~going]] = count[~going]
+            rows, symbols, starts, ranks = rows[going], symbols[going], starts[going], ranks[going]
+            keys, count, best, first = keys[going], count[going], best[going], first[going]
         if not len(rows):
             break
         here = np.arange(len(rows))
-        symbols[here, best] = joined[here, best]
-        shift = np.arange(symbols.shape[1]) > best[:, None]
-        symbols = np.where(shift, np.concatenate([symbols[:, 1:], np.full((len(rows), 1), -1)], axis=1), symbols)
-        joined = np.where(shift, np.concatenate([joined[:, 1:], np.full((len(rows), 1), -1)], axis=1), joined)
-        shift = np.arange(starts.shape[1]) > best[:, None]
-        starts = np.where(shift, np.concatenate([starts[:, 1:], starts[:, -1:]], axis=1), starts)
+        symbols[here, best] = v.by_rank[first]
+        # The symbol after the merge and the start between the two go; all behind them move up.
+        place = np.arange(symbols.shape[1])
+        place = place + (place > best[:, None])
+        starts = np.take_along_axis(starts, place, axis=1)
+        symbols = np.take_along_axis(symbols, place[:, :-1], axis=1)
+        ranks = np.take_along_axis(ranks, place[:, :-1], axis=1)
         count = count - 1
-        joined[here, best] = -1
+        if not symbols.shape[1]:
+            break
+        last = best == symbols.shape[1] - 1
+        ranks[here[last], best[last]] = _NONE
         for column in (best - 1, best):
             ok = (column >= 0) & (column < count - 1)
             judge(here[ok], column[ok])
-        width = int(count.max())
-        symbols, joined, starts = symbols[:, :width].copy(), joined[:, :width].copy(), starts[:, : width + 1].copy()
+            ends = (column >= 0) & (column == count - 1)
+            ranks[here[ends], column[ends]] = _NONE
     return left, left_count
 
 
-def _merge_long(v: Vocabulary, symbols: Sequence[int], key: int, dropout: float) -> list[int]:
+def _merge_long(v: Vocabulary, symbols: np.ndarray, key: int, dropout: float) -> list[int]:
     """The same agenda for one long unit, as a heap over a linked list."""
-    import heapq
-
-    ids, n = list(symbols), len(symbols)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    ends, agenda = list(range(1, n + 1)), []
-    limit = min(int(dropout * 2.0**64), 2**64 - 1)
+    n, limit = len(symbols), _limit(dropout) if dropout > 0 else 0
+    pairs, size, rank = v.pairs, v.size, v.rank.tolist()
+    made = _concatenations(v, symbols[:-1], symbols[1:])
+    gaps = np.flatnonzero(made >= 0)
+    if dropout > 0:
+        gaps = gaps[_keyed(np.full(len(gaps), key, np.uint64), gaps, gaps + 1, gaps + 2) >= np.uint64(limit)]
+    agenda = [(rank[m], a, a + 1, a + 2, m) for a, m in zip(gaps.tolist(), made[gaps].tolist(), strict=True)]
+    heapq.heapify(agenda)
+    ids = symbols.tolist()
+    after, before, ends = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
+    alive = [True] * n
 
     def offer(a: int, b: int) -> None:
-        made = int(_concatenations(v, np.array([ids[a]]), np.array([ids[b]]))[0])
-        if made < 0:
-            return
-        if dropout > 0:
-            place = [np.array([x]) for x in (a, b, ends[b])]
-            if int(_keyed(np.array([key], np.uint64), *place)[0]) < limit:
-                return
-        heapq.heappush(agenda, (int(v.rank[made]), a, b, ends[b], made))
+        # Bytes stand as -1 and join with nothing; every key of `pairs` has two ids.
+        made = pairs.get(ids[a] * size + ids[b], -1) if ids[a] >= 0 and ids[b] >= 0 else -1
+        if made >= 0 and (not limit or _keyed_one(key, a, b, ends[b]) >= limit):
+            heapq.heappush(agenda, (rank[made], a, b, ends[b], made))
 
-    for i in range(n - 1):
-        offer(i, i + 1)
-    alive = [True] * n
     while agenda:
         _, a, b, end, made = heapq.heappop(agenda)
         if not (alive[a] and alive[b] and after[a] == b and ends[a] == b and ends[b] == end):
@@ -209,111 +238,145 @@ def _merge_long(v: Vocabulary, symbols: Sequence[int], key: int, dropout: float)
             offer(a, after[a])
         if before[a] >= 0:
             offer(before[a], a)
-    return [ids[i] for i in range(n) if alive[i]]
+    return [i for i, stays in zip(ids, alive, strict=True) if stays]
+
+
+class _Ragged:
+    """Arrays of different lengths, end to end."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.flat, self.sizes = flat, sizes
+        self.starts = np.cumsum(sizes) - sizes
+
+    def extend(self, other: _Ragged) -> None:
+        self.starts = np.concatenate([self.starts, other.starts + len(self.flat)])
+        self.flat = np.concatenate([self.flat, other.flat])
+        self.sizes = np.concatenate([self.sizes, other.sizes])
+
+    def take(self, at: np.ndarray) -> _Ragged:
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return _Ragged(self.flat[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(total)], sizes)
+
+
+def _no_rows(kind: type) -> _Ragged:
+    return _Ragged(np.zeros(0, kind), np.zeros(0, np.int64))
+
+
+def _joined(parts: list[_Ragged], order: np.ndarray, kind: type) -> _Ragged:
+    """The parts in turn hold the rows named by `order`; these rows in their own order."""
+    if not parts:
+        return _no_rows(kind)
+    whole = _Ragged(np.concatenate([p.flat for p in parts]), np.concatenate([p.sizes for p in parts]))
+    at = np.empty(len(order), np.int64)
+    at[order] = np.arange(len(order))
+    return whole.take(at)
 
 
 class Encoder:
-    """Encodes texts; remembers the ids of the units it has met, each per variant."""
+    """Encodes texts. Remembers of the units met: symbols, ids without a skip, and the merges judged for these."""
 
-    def __init__(self, v: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> None:
-        self.v, self.dropout, self.seed = v, dropout, seed
-        self.variants = variants if dropout > 0 else 1
+    def __init__(self, v: Vocabulary, dropout: float = DROPOUT) -> None:
+        self.v, self.dropout = v, dropout
         self._forget()
 
     def _forget(self) -> None:
         self.numbers = Numbers()
-        # Where the ids of (unit, variant) are: its place in starts and sizes, -1 when not met yet.
-        self.slots = np.full(0, -1, np.int64)
-        self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _keys(self, points: np.ndarray, lengths: np.ndarray, variants: np.ndarray) -> np.ndarray:
-        """A 64-bit key per unit and variant, from the seed and the unit's characters."""
-        starts = np.cumsum(lengths) - lengths
-        column = np.arange(len(points)) - np.repeat(starts, lengths)
-        sums = np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * _keyed(np.full(len(points), self.seed, np.uint64), column, column, column), starts)
-        return _keyed(sums, lengths, variants, lengths)
-
-    def _key(self, unit: str, variant: int) -> int:
-        points = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), np.uint32)
-        return int(self._keys(points, np.array([len(points)]), np.array([variant]))[0])
-
-    def _split(self, units: list[str], variants: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Per block of units: their places in `units`, their ids end to end, and the number of ids of each."""
-        v = self.v
-        lengths = np.fromiter(map(len, units), np.int64, len(units))
-        points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
-        every_key = self._keys(points, lengths, variants)
-        symbols, starts = v.letters[points], np.cumsum(lengths) - lengths
+        self.symbols, self.plain, self.judged = _no_rows(np.int32), _no_rows(np.int32), _no_rows(np.int32)
+
+    def _agenda(self, units: np.ndarray, keys: np.ndarray, dropout: float, judge: bool = False) -> tuple[_Ragged, _Ragged]:
+        """Ids of the units' occurrences with the given keys, and the merges judged for them if wanted."""
+        v, lengths = self.v, self.symbols.sizes[units]
         order = np.argsort(lengths, kind="stable")
         short = order[: np.searchsorted(lengths[order], _LONG, side="right")]
-        for lo in range(0, len(short), 20_000):
-            part = short[lo : lo + 20_000]
-            n = lengths[part]
-            row = np.repeat(np.arange(len(part)), n)
-            column = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            block = np.full((len(part), int(n.max())), -1, np.int64)
-            block[row, column] = symbols[np.repeat(starts[part], n) + column]
-            left, count = _merge_block(v, block, n, every_key[part], self.dropout)
-            inside = np.arange(left.shape[1]) < count[:, None]
-            flat = left[inside]
-            if (flat < 0).any():
-                pieces = np.split(flat, np.cumsum(count)[:-1])
-                for k in np.flatnonzero((inside & (left < 0)).any(axis=1)).tolist():
-                    pieces[k] = self._with_bytes(units[int(part[k])], pieces[k])
-                flat, count = np.concatenate(pieces), np.array([len(p) for p in pieces])
-            yield part, flat, count
+        made, met = [], []
+        for lo in range(0, len(short), _ROWS):
+            part = short[lo : lo + _ROWS]
+            own = self.symbols.take(units[part])
+            inside = np.arange(int(own.sizes.max())) < own.sizes[:, None]
+            block = np.full(inside.shape, -1, np.int32)
+            block[inside] = own.flat
+            found: list | None = [] if judge else None
+            left, count = _merge_block(v, block, own.sizes, keys[part], dropout, found)
+            made.append(self._with_bytes(units[part], _Ragged(left[np.arange(left.shape[1]) < count[:, None]], count)))
+            if found:
+                rows, places = (np.concatenate(x) for x in zip(*found, strict=True))
+                met.append(_Ragged(places[np.argsort(rows, kind="stable")], np.bincount(rows, minlength=len(part))))
+            else:
+                met.append(_Ragged(np.zeros(0, np.int32), np.zeros(len(part), np.int64)))
         for i in order[len(short) :].tolist():
-            ids = _merge_long(v, symbols[starts[i] : starts[i] + lengths[i]].tolist(), int(every_key[i]), self.dropout)
-            made = self._with_bytes(units[i], np.array(ids))
-            yield np.array([i]), made, np.array([len(made)])
+            start = self.symbols.starts[units[i]]
+            ids = _merge_long(v, self.symbols.flat[start : start + lengths[i]], int(keys[i]), dropout)
+            made.append(self._with_bytes(units[i : i + 1], _Ragged(np.array(ids, np.int32), np.array([len(ids)]))))
+            met.append(_Ragged(np.zeros(0, np.int32), np.zeros(1, np.int64)))
+        return _joined(made, order, np.int32), _joined(met, order, np.int32)
 
-    def _with_bytes(self, unit: str, ids: np.ndarray) -> np.ndarray:
+    def _with_bytes(self, units: np.ndarray, made: _Ragged) -> _Ragged:
         """Unknown characters, each standing alone as -1, replaced by the ids of their bytes."""
-        unknown = iter(c for c in unit if self.v.letters[ord(c)] < 0)
-        made: list[int] = []
-        for i in ids.tolist():
-            made.extend([i] if i >= 0 else [self.v.byte_ids[b] for b in next(unknown).encode("utf-8", "surrogatepass")])
-        return np.array(made, np.int64)
-
-    def _learn(self, missing: np.ndarray) -> None:
-        """Split the units and variants of the given slots."""
-        units = [self.numbers.names[i] for i in (missing // self.variants).tolist()]
-        order, ids, counts = [], [self.ids], []
-        for places, flat, count in self._split(units, missing % self.variants):
-            order.append(places)
-            ids.append(flat.astype(np.int32))
-            counts.append(count)
-        base, sizes = len(self.starts), np.concatenate(counts)
-        self.slots[missing[np.concatenate(order)]] = np.arange(base, base + len(missing))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate(ids)
+        if not (made.flat < 0).any():
+            return made
+        owner = np.repeat(np.arange(len(units)), made.sizes)
+        parts = np.split(made.flat, np.cumsum(made.sizes)[:-1])
+        for k in np.unique(owner[made.flat < 0]).tolist():
+            unknown = iter(c for c in self.numbers.names[units[k]] if self.v.letters[ord(c)] < 0)
+            ids: list[int] = []
+            for i in parts[k].tolist():
+                ids.extend([i] if i >= 0 else [self.v.byte_ids[b] for b in next(unknown).encode("utf-8", "surrogatepass")])
+            parts[k] = np.array(ids, np.int32)
+        return _Ragged(np.concatenate(parts), np.array([len(p) for p in parts], np.int64))
+
+    def _learn(self) -> None:
+        """Symbols of the units numbered since the last call, and for all that blocks take their ids without a skip."""
+        known = len(self.symbols.sizes)
+        names = self.numbers.names[known:]
+        if not names:
+            return
+        points = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.symbols.extend(_Ragged(self.v.letters[points], np.fromiter(map(len, names), np.int64, len(names))))
+        units = np.arange(known, len(self.numbers))
+        if self.dropout > 0:
+            # Long units are seldom free of skips and go through the agenda each time.
+            short = np.flatnonzero(self.symbols.sizes[units] <= _LONG)
+        else:
+            short = np.arange(len(units))
+        ids, judged = self._agenda(units[short], np.zeros(len(short), np.uint64), 0.0, judge=self.dropout > 0)
+        for kept, new in ((self.plain, ids), (self.judged, judged)):
+            sizes = np.zeros(len(units), np.int64)
+            sizes[short] = new.sizes
+            kept.extend(_Ragged(new.flat, sizes))
+
+    def _skipping(self, units: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Which occurrences skip a merge that their unit would meet without any skip, or are too long to tell."""
+        found, limit = self.symbols.sizes[units] > _LONG, np.uint64(_limit(self.dropout))
+        for lo in range(0, len(units), _ROWS):
+            met = self.judged.take(units[lo : lo + _ROWS])
+            drawn = _keyed(np.repeat(keys[lo : lo + _ROWS], met.sizes), met.flat >> 16, met.flat >> 8 & 255, met.flat & 255)
+            found[lo + np.repeat(np.arange(len(met.sizes)), met.sizes)[drawn < limit]] = True
+        return found
 
     def encode(self, texts: Sequence[str], keys: Sequence[int]) -> list[np.ndarray]:
-        """Ids of every text; `keys` draws the variants of its words."""
+        """Ids of every text; `keys` draws the skips of its words."""
         units = [_UNIT.findall(" " + t) if t else [] for t in texts]
-        counts = [len(u) for u in units]
+        counts = np.fromiter(map(len, units), np.int64, len(units))
         if len(self.numbers) > _KEPT_UNITS:
             self._forget()
-        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(units)), np.int64, sum(counts)) * self.variants
-        if self.variants > 1 and len(at):
-            at += np.concatenate([self._draw(n, k) for n, k in zip(counts, keys, strict=True)]).astype(np.int64)
-        room = len(self.numbers) * self.variants
-        if room > len(self.slots):
-            self.slots = np.concatenate([self.slots, np.full(room - len(self.slots), -1, np.int64)])
-        missing = np.unique(at[self.slots[at] < 0])
-        if len(missing):
-            self._learn(missing)
-        at = self.slots[at]
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        flat = self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        cuts = np.concatenate(([0], ends))[np.cumsum(counts, dtype=np.int64)]
-        return np.split(flat, cuts[:-1]) if len(texts) else []
-
-    def _draw(self, n: int, key: int) -> np.ndarray:
-        places = np.arange(n)
-        drawn = _keyed(np.full(n, key & (2**64 - 1), np.uint64), places, places, places)
-        return (drawn >> np.uint64(33)) % np.uint64(self.variants)
+        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(units)), np.int64, int(counts.sum()))
+        self._learn()
+        ids, rows = self.plain, at
+        if self.dropout > 0 and len(at):
+            places = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
+            drawn = _keyed(np.repeat(np.array([k & _BITS for k in keys], np.uint64), counts), places, places, places)
+            again = np.flatnonzero(self._skipping(at, drawn))
+            own, _ = self._agenda(at[again], drawn[again], self.dropout)
+            # The ids of occurrences with a skip stand behind the remembered ones.
+            rows = at.copy()
+            rows[again] = len(ids.sizes) + np.arange(len(again))
+            ids = _Ragged(ids.flat, ids.sizes)
+            ids.extend(own)
+        made = ids.take(rows)
+        cuts = np.concatenate(([0], np.cumsum(made.sizes)))[np.cumsum(counts)]
+        return np.split(made.flat, cuts[:-1]) if len(texts) else []
 
 
 def decode(v: Vocabulary, ids: Sequence[int]) -> str:
@@ -339,20 +402,20 @@ def encoded(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model:
 
     ids_crc32 is the unsigned crc32 of the ids as little-endian unsigned 32-bit integers; lossless tells that
     decoding them gave the text back, which holds for every text. The text of null is empty and gives no ids.
-    Words draw their variants from the document's id and text, so repeated rows are encoded alike. Rows
-    repeated stay repeated; an empty table gives no rows. Other columns are not read.
+    Merges are skipped by the document's id and whole text, so repeated rows are encoded alike. Rows repeated
+    stay repeated; an empty table gives no rows. Other columns are not read.
     """
     path = model or default_model()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        encoder = Encoder(v, dropout, seed)
+        encoder = Encoder(v, dropout)
         for batch in batches:
             plain = [t or "" for t in batch.column(1).to_pylist()]
             for lo, hi in _blocks(plain):
                 part, names = plain[lo:hi], batch.column(0).slice(lo, hi - lo)
                 keys = [
-                    xxhash.xxh64_intdigest(f"{n}|{len(t)}|{t[:64]}".encode("utf-8", "replace"), seed)
+                    xxhash.xxh64_intdigest(f"{n}|{t}".encode("utf-8", "surrogatepass"), seed)
                     for n, t in zip(names.to_pylist(), part, strict=True)
                 ]
                 ids = encoder.encode(part, keys)
