@@ -33,6 +33,8 @@ MARK = "▁"
 _UNIT = re.compile(r" +[^ \x00-\x1f▁]*|[^ \x00-\x1f▁]+|[\x00-\x1f▁]")
 _KEPT_UNITS = 400_000
 _NONE = np.int32(2**31 - 1)
+# Stands where no symbol is, or no longer; -1 is a character without a piece.
+_GONE = np.int32(-2)
 # Units longer than this are merged one by one with their own agenda, not padded into a block.
 _LONG = 64
 # Occurrences and units that are merged, or whose draws are made, at once.
@@ -150,62 +152,60 @@ def _merge_block(
 ) -> tuple[np.ndarray, np.ndarray]:
     """The agenda for many units at once: each round does the best open merge of every unit.
 
-    `symbols` is padded with -1; returns the symbols left, padded, and their number per unit. A merge's place is
+    `symbols` holds the characters of a unit per row, then _GONE, and is changed; returns the symbols left, end to end, and their
+    number per unit. A symbol stays at its first character, linked to those before and after it. A merge's place is
     given by the characters where it starts, divides and ends, so the decision to skip it does not depend on the
     order in which it is met. `judged` takes the rows and packed places of all candidates met.
     """
+    n, width = symbols.shape
     limit = np.uint64(_limit(dropout))
-    count = lengths.copy()
-    starts = np.tile(np.arange(symbols.shape[1] + 1, dtype=np.int32), (len(symbols), 1))
-    left, left_count = np.full(symbols.shape, -1, np.int32), np.zeros(len(symbols), np.int64)
-    rows = np.arange(len(symbols))
-    # Per gap the rank of the merge that closes it, _NONE when there is none or it is skipped.
-    ranks = np.full(symbols.shape, _NONE)
-
-    def judge(r: np.ndarray, c: np.ndarray) -> None:
-        made = _concatenations(v, symbols[r, c], symbols[r, c + 1])
-        ranks[r, c] = _NONE
-        at = np.flatnonzero(made >= 0)
-        r, c, made = r[at], c[at], made[at]
+    inside = np.arange(width) < lengths[:, None]
+    flat = symbols.reshape(-1)
+    after = np.tile(np.arange(1, width + 1, dtype=np.int32), n)
+    before = np.tile(np.arange(-1, width - 1, dtype=np.int32), n)
+    # Per gap after a symbol the rank of the merge that closes it, _NONE when there is none or it is skipped.
+    rows, ranks = np.arange(n), np.full((n, width), _NONE)
+
+    def judge(at: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> None:
+        row = rows[at]
+        made = _concatenations(v, flat[row * width + start], flat[row * width + middle])
+        met = np.flatnonzero(made >= 0)
+        at, row, start, middle, end, made = at[met], row[met], start[met], middle[met], end[met], made[met]
         if judged is not None:
-            judged.append((rows[r], starts[r, c] << 16 | starts[r, c + 1] << 8 | starts[r, c + 2]))
+            judged.append((row, (start << 16 | middle << 8 | end).astype(np.int32)))
         if dropout > 0:
-            kept = _keyed(keys[r], starts[r, c], starts[r, c + 1], starts[r, c + 2]) >= limit
-            r, c, made = r[kept], c[kept], made[kept]
-        ranks[r, c] = v.rank[made]
+            kept = np.flatnonzero(_keyed(keys[row], start, middle, end) >= limit)
+            at, start, made = at[kept], start[kept], made[kept]
+        ranks.reshape(-1)[at * width + start] = v.rank[made]
 
-    if symbols.shape[1] > 1:
-        judge(*np.nonzero(np.arange(symbols.shape[1] - 1) < (count - 1)[:, None]))
+    every, start = np.nonzero(inside[:, 1:])
+    judge(every, start, start + 1, start + 2)
     while len(rows):
         best = ranks.argmin(axis=1)
-        first = ranks[np.arange(len(rows)), best]
-        going = first < _NONE
-        if not going.all():
-            left[rows[~going], : symbols.shape[1]] = symbols[~going]
-            left_count[rows[~going]] = count[~going]
-            rows, symbols, starts, ranks = rows[going], symbols[going], starts[going], ranks[going]
-            keys, count, best, first = keys[going], count[going], best[going], first[going]
-        if not len(rows):
-            break
-        here = np.arange(len(rows))
-        symbols[here, best] = v.by_rank[first]
-        # The symbol after the merge and the start between the two go; all behind them move up.
-        place = np.arange(symbols.shape[1])
-        place = place + (place > best[:, None])
-        starts = np.take_along_axis(starts, place, axis=1)
-        symbols = np.take_along_axis(symbols, place[:, :-1], axis=1)
-        ranks = np.take_along_axis(ranks, place[:, :-1], axis=1)
-        count = count - 1
-        if not symbols.shape[1]:
-            break
-        last = best == symbols.shape[1] - 1
-        ranks[here[last], best[last]] = _NONE
-        for column in (best - 1, best):
-            ok = (column >= 0) & (column < count - 1)
-            judge(here[ok], column[ok])
-            ends = (column >= 0) & (column == count - 1)
-            ranks[here[ends], column[ends]] = _NONE
-    return left, left_count
+        first = ranks.reshape(-1)[np.arange(len(rows)) * width + best]
+        at = np.flatnonzero(first < _NONE)
+        start, first = best[at], first[at]
+        if 4 * len(at) < 3 * len(rows):
+            rows, ranks, at = rows[at], ranks[at], np.arange(len(at))
+        row = rows[at]
+        own = row * width
+        middle = after[own + start]
+        end = after[own + middle]
+        flat[own + start], flat[own + middle], after[own + start] = v.by_rank[first], _GONE, end
+        open_ = ranks.reshape(-1)
+        open_[at * width + start] = open_[at * width + middle] = _NONE
+        right = np.flatnonzero(end < lengths[row])
+        before[own[right] + end[right]] = start[right]
+        beyond = after[own[right] + end[right]]
+        left_of = before[own + start]
+        left = np.flatnonzero(left_of >= 0)
+        open_[at[left] * width + left_of[left]] = _NONE
+        judge(
+            np.concatenate([at[right], at[left]]), np.concatenate([start[right], left_of[left]]),
+            np.concatenate([end[right], start[left]]), np.concatenate([beyond, end[left]]),
+        )
+    stays = symbols != _GONE
+    return symbols[stays], stays.sum(axis=1)
 
 
 def _merge_long(v: Vocabulary, symbols: np.ndarray, key: int, dropout: float) -> list[int]:
@@ -294,12 +294,10 @@ class Encoder:
         for lo in range(0, len(short), _ROWS):
             part = short[lo : lo + _ROWS]
             own = self.symbols.take(units[part])
-            inside = np.arange(int(own.sizes.max())) < own.sizes[:, None]
-            block = np.full(inside.shape, -1, np.int32)
-            block[inside] = own.flat
+            block = np.full((len(part), int(own.sizes.max())), _GONE)
+            block[np.arange(block.shape[1]) < own.sizes[:, None]] = own.flat
             found: list | None = [] if judge else None
-            left, count = _merge_block(v, block, own.sizes, keys[part], dropout, found)
-            made.append(self._with_bytes(units[part], _Ragged(left[np.arange(left.shape[1]) < count[:, None]], count)))
+            made.append(self._with_bytes(units[part], _Ragged(*_merge_block(v, block, own.sizes, keys[part], dropout, found))))
             if found:
                 rows, places = (np.concatenate(x) for x in zip(*found, strict=True))
                 met.append(_Ragged(places[np.argsort(rows, kind="stable")], np.bincount(rows, minlength=len(part))))
