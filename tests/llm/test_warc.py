@@ -1,4 +1,5 @@
 import hashlib
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import duckdb
@@ -74,6 +75,47 @@ def test_bundles_are_plain_zstandard_with_a_seek_table(archive):
     assert whole.startswith(b"WARC/1.1\r\n")
 
 
+def records(archive):
+    """Headers and block of every record, by walking the bundles from start to end."""
+    for name in [r.bundle for r in archive.index.select("bundle").distinct().collect()]:
+        for start, packed, plain, check in warc.seek_table(archive.folder, name):
+            content, at = warc.frame_content(archive.folder, name, start, packed, check), 0
+            while at < plain:
+                headers, block, at = warc.parse(content, at)
+                yield headers, block
+
+
+def test_headers_that_the_format_demands(pages, archive):
+    found = list(records(archive))
+    assert len(found) == pages.count()
+    ids = [h["WARC-Record-ID"] for h, _ in found]
+    assert len(set(ids)) == len(ids) and all(i.startswith("<urn:uuid:") for i in ids)
+    assert len({h["WARC-Date"] for h, _ in found}) == 1
+    for headers, block in found:
+        assert datetime.strptime(headers["WARC-Date"], "%Y-%m-%dT%H:%M:%SZ")
+        assert headers["Content-Type"] == "application/http; msgtype=response"
+        assert int(headers["Content-Length"]) == len(block) and headers["WARC-Target-URI"]
+        if headers["WARC-Type"] == "response":
+            head, body = block.split(b"\r\n\r\n", 1)
+            assert head.startswith(b"HTTP/1.1 200 OK\r\n") and f"Content-Length: {len(body)}".encode() in head
+        else:
+            assert (headers["WARC-Refers-To-Target-URI"], headers["Refers-To-Page-ID"], block) == ("u", "900", b"")
+            assert headers["WARC-Refers-To-Date"] == headers["WARC-Date"]
+
+
+def test_date_is_a_parameter(spark):
+    given = datetime(2024, 2, 3, 5, 6, 7, tzinfo=timezone(timedelta(hours=1)))
+    archive = warc.write(spark.createDataFrame([(1, None, "x")], PAGES), date=given)
+    ((headers, _),) = records(archive)
+    assert (headers["WARC-Date"], headers["WARC-Target-URI"]) == ("2024-02-03T04:06:07Z", "urn:none")
+
+
+def test_index_and_frames_must_agree(archive):
+    short = warc.Archive(archive.folder, archive.index.where("page_id is null or page_id <> 7"))
+    with pytest.raises(Exception, match="index"):
+        warc.read(short).collect()
+
+
 def test_damage_is_found(archive):
     name = archive.index.first().bundle
     start, packed, _, check = warc.seek_table(archive.folder, name)[0]
