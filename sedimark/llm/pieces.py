@@ -18,7 +18,6 @@ import re
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ DROPOUT, SEED = 0.1, 42
 MARK = "▁"
 # A unit is what merges cannot cross: a run of spaces with the letters after it, or a control character.
 _UNIT = re.compile(r" +[^ \x00-\x1f▁]*|[^ \x00-\x1f▁]+|[\x00-\x1f▁]")
-_KEPT_UNITS = 400_000
+_KEPT_UNITS = 150_000
 _NONE = np.int32(2**31 - 1)
 # Stands where no symbol is, or no longer; -1 is a character without a piece.
 _GONE = np.int32(-2)
@@ -355,11 +354,14 @@ class Encoder:
 
     def encode(self, texts: Sequence[str], keys: Sequence[int]) -> list[np.ndarray]:
         """Ids of every text; `keys` draws the skips of its words."""
-        units = [_UNIT.findall(" " + t) if t else [] for t in texts]
-        counts = np.fromiter(map(len, units), np.int64, len(units))
         if len(self.numbers) > _KEPT_UNITS:
             self._forget()
-        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(units)), np.int64, int(counts.sum()))
+        # Numbered text by text: the units of a block are never all held as strings.
+        number = self.numbers.__getitem__
+        numbered = [np.fromiter(map(number, _UNIT.findall(" " + t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
+        counts = np.fromiter(map(len, numbered), np.int64, len(numbered))
+        at = np.concatenate([np.zeros(0, np.int64), *numbered])
+        del numbered
         self._learn()
         ids, rows = self.plain, at
         if self.dropout > 0 and len(at):
@@ -383,7 +385,7 @@ def decode(v: Vocabulary, ids: Sequence[int]) -> str:
     return made[1:].decode("utf-8", "surrogatepass")
 
 
-def _blocks(texts: list[str], size: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def _blocks(texts: list[str], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `size` characters, so a batch with long texts is not encoded at once."""
     start, held = 0, 0
     for i, t in enumerate(texts):
