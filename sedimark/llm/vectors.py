@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimark.llm.graph import connected
 from sedimark.llm.tables import stored
@@ -126,14 +127,14 @@ def _met_before(units: np.ndarray, forest: Trees, here: int) -> np.ndarray:
     return met
 
 
-def compare(group: pd.DataFrame, size: int, forest: Trees, cosine: float = COSINE) -> pd.DataFrame:
+def compare(group: pd.DataFrame, size: int, forest: Trees, cosine: float = COSINE, kind: type = np.float64) -> pd.DataFrame:
     """(cid, root, n) for the members of one leaf, or two blocks of it, that have links.
 
-    n adds up the copies of the linked classes. A pair that meets in several leaves counts in the first one
+    Vectors are the bytes of numbers of the given kind. n adds up the copies of the linked classes. A pair that meets in several leaves counts in the first one
     both fall into. root is the smallest class of those joined here.
     """
     here = int(group["code"].iloc[0])
-    units = unit_rows([np.frombuffer(v, np.float64) for v in group["vector"]], size)
+    units = unit_rows([np.frombuffer(v, kind) for v in group["vector"]], size)
     blocks, ids = group["own"].to_numpy(), group["cid"].to_numpy()
     copies = group["copies"].to_numpy()
     first, second = group["one"].iloc[0], group["two"].iloc[0]
@@ -185,11 +186,15 @@ def near_duplicates(
     vector cannot link stand alone, and so do vectors of another length. Rows without id take part;
     component_id is null where no member has one, and kept is false then. An empty table gives no rows.
     """
-    body = F.col(vector).cast("array<double>")
+    # Vectors of single precision are sent and stored as such, and widened where they are compared.
+    held = rows.schema[vector].dataType
+    single = isinstance(held, T.ArrayType) and isinstance(held.elementType, T.FloatType)
+    number, narrow = ("float", np.float32) if single else ("double", np.float64)
+    body = F.col(vector).cast(f"array<{number}>")
     plain = rows.select(F.col(vec_id).alias("vec_id"), F.col(label).alias("label"), body.alias("vector"))
     good = F.col("label").isNotNull() & usable(F.col("vector"))
     # Zeros of either sign are one value.
-    same = F.transform("vector", lambda x: x + F.lit(0.0))
+    same = F.transform("vector", lambda x: x + F.lit(0.0).cast(number))
     marked = plain.select("vec_id", "label", F.when(good, same).alias("vector"))
     marked = stored(marked.withColumn("cid", F.when(F.col("vector").isNotNull(), F.xxhash64("label", "vector"))), "vectors")
     groups = marked.where("vector is not null").groupBy("cid").agg(
@@ -217,7 +222,7 @@ def near_duplicates(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array([len(v) for v in vectors], pa.int32()), batch.column(3),
-                    pa.array([v.tobytes() for v in vectors], pa.binary()),
+                    pa.array([v.astype(narrow).tobytes() for v in vectors], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(codes, pa.int64())),
                 ],
                 ["cid", "label", "size", "copies", "vector", "codes"],
@@ -236,7 +241,7 @@ def near_duplicates(
     dealt = dealt.withColumn("own", F.pmod(F.col("cid"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")})
     found = dealt.groupBy(*leaf, "one", "two").applyInPandas(
-        lambda group: compare(group, size, Trees(**forest.value), cosine), "cid bigint, root bigint, n bigint"
+        lambda group: compare(group, size, Trees(**forest.value), cosine, narrow), "cid bigint, root bigint, n bigint"
     )
     found = stored(found, "vector-links")
     links = found.groupBy("cid").agg(F.sum("n").alias("linked"))

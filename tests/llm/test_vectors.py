@@ -50,6 +50,15 @@ def result(df):
     return sorted(tuple(r) for r in vectors.near_duplicates(df).collect())
 
 
+def test_doubles_are_compared_as_doubles(spark):
+    """Parts that single precision would round away decide links, in both directions."""
+    turn = np.arccos(vectors.COSINE)
+    rows = [(1, [1.0, 0.0], 1), (2, [float(np.cos(turn * (1 - 1e-9))), float(np.sin(turn * (1 - 1e-9)))], 1)]
+    rows += [(3, [1.0, 0.0], 2), (4, [float(np.cos(turn * (1 + 1e-9))), float(np.sin(turn * (1 + 1e-9)))], 2)]
+    found = result(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int"))
+    assert found == plain(rows) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)]
+
+
 @pytest.mark.parametrize(("leaf", "block"), [(256, 2048), (16, 2048), (16, 24)])
 def test_links_equal_brute_force(spark, monkeypatch, leaf, block):
     monkeypatch.setattr(vectors, "LEAF", leaf)
