@@ -75,6 +75,8 @@ class _Split:
             if count:
                 texts = values.take(pa.array(starts[single]))
                 batches.append(_batch([_WHOLE] * count, [False] * count, [None] * count, [None] * count, texts))
+        if self.rows:
+            batches.append(self._taken())
         rest = int(ends[-1]) + 1 if len(ends) else 0
         self.held += values.slice(rest).to_pylist()
         self.parity = int(after[-1]) if len(after) else self.parity
@@ -83,9 +85,12 @@ class _Split:
     def close(self) -> pa.RecordBatch | None:
         if self.held:
             self._emit(_INSIDE if self.before else _BEGIN, "\n".join(self.held))
-        if not self.rows:
-            return None
+        return self._taken() if self.rows else None
+
+    def _taken(self) -> pa.RecordBatch:
+        """The records of several lines since the last batch, which are not held any longer."""
         columns = list(zip(*self.rows, strict=True))
+        self.rows = []
         return _batch(*columns[:4], pa.array(columns[4], pa.string()))
 
 

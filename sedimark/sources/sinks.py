@@ -64,7 +64,7 @@ def write_parquet(
     """Rows written.
 
     `files` merges the output into that many files at most, for results of bounded size only: the
-    last stage then runs in as many tasks. `even` lets adaptive execution choose files of even size.
+    last stage then runs in as many tasks. Others are repartitioned before. `even` lets adaptive execution choose files of even size.
     """
     return _counted(_arranged(df, files, even), lambda w: w.mode(mode).partitionBy(*partitions).parquet(path))
 

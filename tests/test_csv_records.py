@@ -2,11 +2,14 @@ import csv
 import random
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimark.sources import files, sinks
+from sedimark.plans import catalogue
+from sedimark.sources import csv_records, files, sinks
 from sedimark.sources.csv_records import read_csv_records, read_records
 
 SCHEMA = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
@@ -87,3 +90,27 @@ def test_files_without_records(spark, tmp_path):
     Path(tmp_path / "header.csv").write_text("id,a,b\n")
     assert read_csv_records(spark, str(tmp_path), SCHEMA).count() == 0
     assert read_records(spark, str(tmp_path)).count() == 1
+
+
+def test_the_task_that_writes_one_file_makes_no_rows(spark, small, plan, monkeypatch):
+    """The join runs in tasks of its own; with `coalesce` it ran whole in the task that writes."""
+    seen = []
+    inner = sinks.write_csv
+
+    def write_csv(df, path, **how):
+        seen.append((plan(sinks._arranged(df, how.get("files"), how.get("even", False))), path))
+        return inner(df, path, **how)
+
+    monkeypatch.setattr(sinks, "write_csv", write_csv)
+    back = catalogue.csv_line_breaks(spark, small)
+    [(text, path)] = seen
+    assert len(list(Path(path).glob("*.csv"))) == 1 and back.count() > 0
+    assert "Coalesce" not in text and "Exchange SinglePartition" in text.split("Join")[0]
+
+
+def test_records_of_several_lines_are_not_held():
+    split = csv_records._Split("f", 1, 0)
+    for _ in range(5):
+        batches = split.add(pa.array(['1,"a', 'b"'] * 100), np.ones(200, np.int64))
+        assert sum(b.num_rows for b in batches) == 100 and not split.rows and not split.held
+    assert split.close() is None
