@@ -1,7 +1,7 @@
 """An index for pages of a written table: a far page is a look-up and a read of one or two ranges.
 
-The index is a table of its own, written once per version of the indexed one: all columns in page order, dealt into
-ranges by a sampled sort, each range a folder and sorted within. A record beside it holds the number of rows before each
+The index is a table of its own, written once per version of the indexed one: all columns in page order, sorted in parts
+by a sampled sort and cut into ranges by the number of the row, each range a folder. A record beside it holds the number of rows before each
 range. A page is found by a search in these numbers; only its ranges are read.
 """
 
@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 from sedimark.operators.dedup import settle_ties
 from sedimark.operators.paging import check_page
 from sedimark.operators.summaries import ordering
-from sedimark.session import path_exists, read_text, write_text
+from sedimark.session import intermediates, path_exists, read_text, write_text
+from sedimark.sources.sinks import materialized
 
 RANGE_ROWS = 200_000
 _RANGE, _RECORD = "__range", "_pages.json"
@@ -93,21 +94,27 @@ def open_index(spark: SparkSession, path: str, version: str, order: Sequence[str
 def build_index(df: DataFrame, path: str, version: str, order: Sequence[str], range_rows: int = RANGE_ROWS) -> PageIndex:
     """Write the index of a table; an older one at `path` is replaced. Runs jobs.
 
-    Ranges have about `range_rows` rows; rows that are equal in all of `order` may lie in several. The driver gets a
-    number per range.
+    Ranges have `range_rows` rows, the last one fewer; rows that are equal in all of `order` may lie in several. The
+    rows are sorted by as many tasks as a shuffle has, however many ranges there are: the driver gets a sample for
+    that many parts, and a number per part.
     """
     spark = df.sparkSession
-    count = df.count()
-    ranges = max(-(-count // range_rows), 1)
     total = total_order(df, order)
     terms = ordering(total)
     # A number of the row spreads rows that are equal in every column.
-    dealt = df.withColumn("__spread", F.monotonically_increasing_id()).repartitionByRange(ranges, *terms, "__spread")
-    placed = dealt.withColumn(_RANGE, F.spark_partition_id()).sortWithinPartitions(_RANGE, *terms, "__spread").drop("__spread")
-    placed.write.mode("overwrite").partitionBy(_RANGE).parquet(path)
-    stored = spark.read.schema(T.StructType([T.StructField(_RANGE, T.IntegerType())])).parquet(path)
-    sizes = {r[_RANGE]: r["n"] for r in stored.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts = [0, *accumulate(sizes.get(r, 0) for r in range(ranges))]
+    dealt = df.withColumn("__spread", F.monotonically_increasing_id()).repartitionByRange(*terms, "__spread")
+    placed = dealt.sortWithinPartitions(*terms, "__spread").withColumn("__spread", F.monotonically_increasing_id())
+    # The new number has the part above, the row's place in it below.
+    part, place = F.shiftright("__spread", 33), F.col("__spread").bitwiseAND((1 << 33) - 1)
+    with intermediates(spark):
+        parts, rows = materialized(placed, "page-order")
+        sizes = sorted(parts.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+        before = accumulate((r["n"] for r in sizes), initial=0)
+        firsts = spark.createDataFrame([(r["part"], b) for r, b in zip(sizes, before, strict=False)], "__part bigint, __first bigint")
+        numbered = parts.join(F.broadcast(firsts), part == F.col("__part"))
+        cut = numbered.withColumn(_RANGE, F.floor((F.col("__first") + place) / range_rows).cast("int"))
+        cut.select(*df.columns, _RANGE).write.mode("overwrite").partitionBy(_RANGE).parquet(path)
+    starts = [min(r * range_rows, rows) for r in range(max(-(-rows // range_rows), 1) + 1)]
     said = {"version": version, "asked": list(order), "order": total, "starts": starts, "schema": df.schema.jsonValue()}
     write_text(spark, f"{path}/{_RECORD}", json.dumps(said))
     return PageIndex(spark, path, tuple(total), tuple(df.columns), tuple(starts), df.schema)

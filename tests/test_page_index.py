@@ -88,3 +88,19 @@ def test_served_marts_have_an_index(spark, tmp_path):
         assert served.far_page(spark, layout, page).collect() == served.page(rows, page).collect()
     with pytest.raises(ValueError, match="page"):
         served.far_page(spark, layout, 1, 1_000)
+
+
+def test_many_ranges_need_no_more_tasks(spark, table, tmp_path):
+    """Ranges are cut by the number of the row: neither the tasks nor the sample for the sort grow with their number."""
+    context, group = spark.sparkContext, "many-ranges"
+    context.setJobGroup(group, group)
+    try:
+        index = build_index(table, str(tmp_path / "pages"), "1", ["v DESC"], range_rows=10)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert index.starts == tuple(range(0, 1_001, 10))
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+    assert 0 < max(s.numTasks for s in stages if s) <= 8
+    got = [row for page in range(1, 5) for row in index.page(page, 250).collect()]
+    assert got == page_of(table, ["v DESC"], 1, 1_000).collect()
